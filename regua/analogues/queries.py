@@ -1,7 +1,9 @@
 """Every operator and question, run over the driver's tables.
 
-Operators work on frames derived from the raw tables. The twelve questions read
-stored analytical tables, see :mod:`regua.analogues.workspace`.
+Conforming steps work on the raw tables. What follows conforming reads the
+stored conformed pupils, and the twelve questions read stored analytical
+tables, as in the layered flow of :mod:`regua.plans`; see
+:mod:`regua.analogues.workspace`.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _raw_city(spark: SparkSession, sf: str) -> DataFrame:
-    return views.raw_results(views.micro(spark, sf), CITY)
+    return views.raw_results(workspace.silver_micro(spark, sf), CITY)
 
 
 def _landed_city(spark: SparkSession, sf: str) -> str:
@@ -88,8 +90,7 @@ def partition_discovery(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parquet_scan(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_table(spark, f"{sf}/orders.parquet")
-    return orders.where(F.col("o_orderstatus") == "F").select(
+    return views.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )
 
@@ -144,7 +145,7 @@ def _fresh_name(spark: SparkSession, prefix: str) -> str:
 
 def parquet_partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "municipio")
-    write_partitioned(views.results(views.micro(spark, sf), CITY), path)
+    write_partitioned(views.results(workspace.silver_micro(spark, sf), CITY), path)
     return read_table(spark, path)
 
 
@@ -254,7 +255,7 @@ def cut_score_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf: str, entity: str) -> DataFrame:
-    pupils = views.micro(spark, sf)
+    pupils = workspace.silver_micro(spark, sf)
     return targets.attach_targets(
         views.results(pupils, entity), views.targets(pupils, entity), entity, TARGET_YEARS
     ).withColumnRenamed("taxa_alfabetizacao", "taxa_alfabetizacao_resultado")
@@ -295,7 +296,7 @@ def target_status(spark: SparkSession, sf: str) -> DataFrame:
 
 def _gold(entity: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        pupils = views.micro(spark, sf)
+        pupils = workspace.silver_micro(spark, sf)
         return gold.gold_indicator(
             views.results(pupils, entity), views.targets(pupils, entity), entity, TARGET_YEARS
         )
@@ -304,11 +305,11 @@ def _gold(entity: str) -> Query:
 
 
 def gold_national(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.gold_national(views.national(views.micro(spark, sf)), TARGET_YEARS)
+    return gold.gold_national(views.national(workspace.silver_micro(spark, sf)), TARGET_YEARS)
 
 
 def gold_micro_city(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.gold_micro(views.micro(spark, sf), cut=CUT)
+    return gold.gold_micro(workspace.silver_micro(spark, sf), cut=CUT)
 
 
 # --- filters, joins, aggregates, sorts ---------------------------------------
@@ -330,16 +331,17 @@ def _supplier_cities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def join_anti_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.orphan_keys(views.micro(spark, sf), _supplier_cities(spark, sf), CITY)
+    pupils = workspace.silver_micro(spark, sf)
+    return quality.orphan_keys(pupils, _supplier_cities(spark, sf), CITY)
 
 
 def distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.distinct_keys(views.micro(spark, sf), CITY)
+    return quality.distinct_keys(workspace.silver_micro(spark, sf), CITY)
 
 
 def rollup(spark: SparkSession, sf: str) -> DataFrame:
     keys = ("ano", STATE, CITY, "rede")
-    return rate_rollup(views.micro(spark, sf), keys, cut=CUT)
+    return rate_rollup(workspace.silver_micro(spark, sf), keys, cut=CUT)
 
 
 def agg_count_distinct(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,7 +353,7 @@ def agg_count_distinct(spark: SparkSession, sf: str) -> DataFrame:
 
 def agg_flag_rate(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        views.micro(spark, sf)
+        workspace.silver_micro(spark, sf)
         .groupBy("ano", STATE)
         .agg(
             rate(F.col("in_alfabetizado")).alias("taxa_oficial"),
@@ -364,7 +366,7 @@ _RESULT_TIES = (CITY, "rede", "ano")
 
 
 def _city_results(spark: SparkSession, sf: str) -> DataFrame:
-    return views.results(views.micro(spark, sf), CITY).select(
+    return views.results(workspace.silver_micro(spark, sf), CITY).select(
         "ano", CITY, "rede", "taxa_alfabetizacao", "media_portugues"
     )
 
@@ -407,12 +409,12 @@ def dq_negative(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_cut_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_cut_agreement(views.micro(spark, sf), "aluno", cut=CUT)
+    return quality.check_cut_agreement(workspace.silver_micro(spark, sf), "aluno", cut=CUT)
 
 
 def dq_referential(spark: SparkSession, sf: str) -> DataFrame:
     return quality.check_referential(
-        views.micro(spark, sf), _supplier_cities(spark, sf), "aluno"
+        workspace.silver_micro(spark, sf), _supplier_cities(spark, sf), "aluno"
     )
 
 

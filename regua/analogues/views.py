@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from regua.functions.numeric import rate, safe_round
 from regua.operators.conform import conform_aggregate, conform_microdata
 from regua.schemas import TARGET_PREFIX
+from regua.sources.tables import read_table
 
 CUT = 250000
 YEARS = tuple(range(1995, 2002))
@@ -23,8 +24,24 @@ CITIES_PER_STATE = 20
 CITY, STATE = "id_municipio", "sigla_uf"
 
 
+# Declared, so that planning a query reads no file.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", _SCHEMAS[name])
 
 
 def raw_micro(spark: SparkSession, sf_dir: str) -> DataFrame:

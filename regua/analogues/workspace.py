@@ -19,10 +19,14 @@ from regua.session import scratch_path
 from regua.sinks.files import write_partitioned
 from regua.sources.tables import read_table
 
-_paths: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 _building = threading.RLock()
 
 
+def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir, name
+
+
 def stored(
     spark: SparkSession,
     sf_dir: str,
@@ -30,18 +34,21 @@ def stored(
     build: Callable[[], DataFrame],
     partitions: tuple[str, ...] = ("ano",),
 ) -> DataFrame:
-    """The table ``name`` over ``sf_dir``, written by ``build`` if nobody has yet."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """The table ``name`` over ``sf_dir``, written by ``build`` if nobody has yet.
+
+    The frame that reads it is kept as well, since it holds the file listing.
+    """
+    key = _key(spark, sf_dir, name)
     with _building:
-        if key not in _paths:
+        if key not in _stored:
             path = scratch_path(spark, name)
             write_partitioned(build(), path, partitions)
-            _paths[key] = path
-    return read_table(spark, _paths[key])
+            _stored[key] = path, read_table(spark, path)
+        return _stored[key][1]
 
 
 def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return _paths[spark.sparkContext.applicationId, sf_dir, name]
+    return _stored[_key(spark, sf_dir, name)][0]
 
 
 def silver_micro(spark: SparkSession, sf_dir: str) -> DataFrame:

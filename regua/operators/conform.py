@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from regua.functions.labels import NETWORK_LABELS, label_for
-from regua.functions.numeric import cast_to, text_to_int
+from regua.functions.numeric import cast_columns, text_to_int
 from regua.schemas import CUT_SCORE, DOUBLE_PREFIXES, KEY_TYPES, MICRODATA_NAMES, MICRODATA_TYPES
 
 
@@ -21,13 +21,13 @@ def trim_keys(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def cast_by_prefix(df: DataFrame, prefixes: tuple[str, ...] = DOUBLE_PREFIXES) -> DataFrame:
     chosen = [name for name in df.columns if name.startswith(prefixes)]
-    return _cast(df, dict.fromkeys(chosen, "double"))
+    return cast_columns(df, dict.fromkeys(chosen, "double"))
 
 
 def cast_keys(df: DataFrame, types: Mapping[str, str] = KEY_TYPES) -> DataFrame:
     """Type the key columns that exist; text keys are trimmed as well."""
     present = {name: kind for name, kind in types.items() if name in df.columns}
-    typed = _cast(df, present)
+    typed = cast_columns(df, present)
     return trim_keys(typed, [name for name, kind in present.items() if kind == "string"])
 
 
@@ -38,7 +38,7 @@ def cast_microdata(
     trimmed: tuple[str, ...] = ("sigla_uf",),
     decimal_mark: str = ".",
 ) -> DataFrame:
-    return trim_keys(_cast(df, types, decimal_mark), trimmed)
+    return trim_keys(cast_columns(df, types, decimal_mark), trimmed)
 
 
 def add_network(df: DataFrame, labels: Mapping[int, str] = NETWORK_LABELS) -> DataFrame:
@@ -82,12 +82,3 @@ def conform_microdata(
         .transform(flag_cut_score, cut=cut)
         .transform(add_network, labels)
     )
-
-
-def _cast(df: DataFrame, types: Mapping[str, str], decimal_mark: str = ".") -> DataFrame:
-    return df.withColumns(
-        {
-            name: cast_to(F.col(name), df.schema[name].dataType, kind, decimal_mark)
-            for name, kind in types.items()
-        }
-    )

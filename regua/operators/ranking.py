@@ -47,26 +47,34 @@ def keep_extremes(
     value: str,
     ties: Sequence[str],
     k: int,
-    salts: int = 32,
+    salts: int = 256,
 ) -> DataFrame:
     """Per key, the rows that can be among the ``k`` farthest from any number.
 
     Farthest from a given number means lowest or highest; farthest from NULL
     means first by tie-break. Everything else can be left out before a join
-    that ranks by distance. A key with very many rows is first cut down in
-    ``salts`` independent parts, so no task sorts all of it.
+    that ranks by distance.
+
+    Each input partition first belongs to one of ``salts`` groups in which a
+    key is cut down on its own, so no task sorts all rows of a large key, not
+    even when they are copies of one row. The second cut meets at most
+    ``3 * k * salts`` rows per key.
     """
 
     def prune(frame: DataFrame, parts: list[str]) -> DataFrame:
         w = W.partitionBy(*parts)
         rank = F.row_number()
         return (
-            frame.withColumn("_low", rank.over(w.orderBy(*ascending(value, *ties))))
-            .withColumn("_high", rank.over(w.orderBy(*descending(value), *ascending(*ties))))
-            .withColumn("_tie", rank.over(w.orderBy(*ascending(*ties))))
+            frame.withColumns(
+                {
+                    "_low": rank.over(w.orderBy(*ascending(value, *ties))),
+                    "_high": rank.over(w.orderBy(*descending(value), *ascending(*ties))),
+                    "_tie": rank.over(w.orderBy(*ascending(*ties))),
+                }
+            )
             .where(F.least("_low", "_high", "_tie") <= k)
             .drop("_low", "_high", "_tie")
         )
 
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*ties), F.lit(salts)))
+    salted = df.withColumn("_salt", F.spark_partition_id() % salts)
     return prune(prune(salted, [*keys, "_salt"]), [*keys]).drop("_salt")

@@ -145,19 +145,22 @@ def official_vs_micro(
 
     Years are deliberately not matched: unit records may be from another year,
     so a latest result meets every year of its municipality and network. Only
-    the extremes of each key can win, and only those are joined, which keeps
-    the join linear in the results however many records share a key.
+    the extremes of either side of a key can win; joining just those bounds the
+    pairs of a key by a constant, however many rows share it.
     """
     computed = f"taxa_alfabetizacao_calculada_{cut}"
     keys = [CITY, "rede"]
+    official_ties = ["serie", RESULT]
     micro_ties = ["_micro_ano", STATE, "nome_municipio"]
-    rates = micro.select(
+    official = keep_latest(city).select("ano", *keys, "serie", RESULT)
+    recomputed = micro.select(
         *keys, STATE, "nome_municipio", F.col("ano").alias("_micro_ano"), computed
     )
-    official = keep_latest(city).select("ano", *keys, "serie", RESULT)
-    pairs = official.join(keep_extremes(rates, keys, computed, micro_ties, k), on=keys)
+    pairs = keep_extremes(official, keys, RESULT, official_ties, k).join(
+        keep_extremes(recomputed, keys, computed, micro_ties, k), on=keys
+    )
     difference = F.col(RESULT) - F.col(computed)
-    ties = [*keys, "serie", RESULT, *micro_ties]
+    ties = [*keys, *official_ties, *micro_ties]
     return top_k(pairs, descending(F.abs(difference)), ties, k).select(
         "ano",
         CITY,

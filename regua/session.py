@@ -17,6 +17,9 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",
+        # Small data: let a few megabytes already be worth a task of their own.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName("regua")

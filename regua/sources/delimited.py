@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from regua.functions.numeric import cast_to
+from regua.functions.numeric import cast_columns
 from regua.schemas import LOAD_COLUMN, Entity
 
 
@@ -46,13 +46,8 @@ def read_text_columns(spark: SparkSession, path: str, options: dict) -> DataFram
 
 
 def declare_types(df: DataFrame, entity: Entity, decimal_mark: str = ".") -> DataFrame:
-    return df.withColumns(
-        {
-            name: cast_to(F.col(name), df.schema[name].dataType, entity.types[name], decimal_mark)
-            for name in df.columns
-            if name in entity.types
-        }
-    )
+    present = {name: kind for name, kind in entity.types.items() if name in df.columns}
+    return cast_columns(df, present, decimal_mark)
 
 
 def _only(df: DataFrame, loads: Sequence[str] | None) -> DataFrame:
