@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from regua.functions.numeric import cast_to, safe_round
-from regua.schemas import CUT_SCORE, PERCENT_PREFIXES
+from regua.schemas import CUT_SCORE, ENTITIES, PERCENT_PREFIXES
 
 log = logging.getLogger(__name__)
 
@@ -180,7 +180,7 @@ def quality_report(
     later join without making it wrong.
     """
     parts = [
-        check_duplicates(micro, "aluno"),
+        check_duplicates(micro, "aluno", ENTITIES["aluno"].key),
         check_range(results, "municipio"),
         check_range(targets, "meta_municipio"),
         check_microdata(micro, cut),

@@ -58,7 +58,6 @@ class Entity:
     """One named table of the raw and conformed layers."""
 
     name: str
-    file: str
     key: tuple[str, ...]
     types: Mapping[str, str] = field(default_factory=dict)
     partitions: tuple[str, ...] = ("ano",)
@@ -89,25 +88,21 @@ ENTITIES = {
     for entity in (
         Entity(
             "meta_brasil",
-            "br_inep_avaliacao_alfabetizacao_meta_alfabetizacao_brasil.csv",
             ("ano", "rede"),
             {"ano": "int", **_TARGET_TYPES},
         ),
         Entity(
             "meta_uf",
-            "br_inep_avaliacao_alfabetizacao_meta_alfabetizacao_uf.csv",
             ("ano", "sigla_uf", "rede"),
             {"ano": "int", "sigla_uf": "string", **_TARGET_TYPES},
         ),
         Entity(
             "meta_municipio",
-            "br_inep_avaliacao_alfabetizacao_meta_alfabetizacao_municipio.csv",
             ("ano", "id_municipio", "rede"),
             {"ano": "int", "id_municipio": "int", **_TARGET_TYPES},
         ),
         Entity(
             "uf",
-            "br_inep_avaliacao_alfabetizacao_uf.csv",
             ("ano", "sigla_uf", "serie", "rede"),
             {
                 "ano": "int",
@@ -118,13 +113,11 @@ ENTITIES = {
         ),
         Entity(
             "municipio",
-            "br_inep_avaliacao_alfabetizacao_municipio.csv",
             ("ano", "id_municipio", "serie", "rede"),
             {"ano": "int", "id_municipio": "int", **_RESULT_TYPES},
         ),
         Entity(
             "aluno",
-            "TS_ALUNO.csv",
             ("ano", "id_aluno"),
             {
                 raw: MICRODATA_TYPES.get(name, "string")

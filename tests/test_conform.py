@@ -13,7 +13,7 @@ def write(folder: Path, entity, load, lines, encoding=None):
     target = folder / entity.name / f"dt_carga={load}"
     target.mkdir(parents=True)
     text = "\n".join(lines) + "\n"
-    (target / entity.file).write_text(text, encoding=encoding or entity.encoding)
+    (target / f"{entity.name}.csv").write_text(text, encoding=encoding or entity.encoding)
 
 
 def test_network_code_and_label(spark):

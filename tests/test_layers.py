@@ -17,7 +17,7 @@ def land(root, name, lines):
     folder = root / name / "dt_carga=manual"
     folder.mkdir(parents=True)
     text = "\n".join(lines) + "\n"
-    (folder / entity.file).write_text(text, encoding=entity.encoding)
+    (folder / f"{name}.csv").write_text(text, encoding=entity.encoding)
 
 
 @pytest.fixture
@@ -87,7 +87,7 @@ def test_whole_flow(spark, bronze, tmp_path):
 def test_failed_gate_stops_before_gold(spark, bronze, tmp_path):
     extra = bronze / "aluno/dt_carga=again"
     extra.mkdir()
-    source = bronze / "aluno/dt_carga=manual" / ENTITIES["aluno"].file
+    source = bronze / "aluno/dt_carga=manual/aluno.csv"
     (extra / "copy.csv").write_bytes(source.read_bytes())
     with pytest.raises(QualityError, match="duplicate_key"):
         medallion.run(spark, str(bronze), str(tmp_path / "s"), str(tmp_path / "g"))

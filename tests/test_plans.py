@@ -79,3 +79,53 @@ def test_row_checks_share_one_scan(spark):
 
     report = check_microdata(workspace.silver_micro(spark, SF))
     assert explained(report).count("Scan parquet") == 2  # once in the tree, once in the details
+
+
+@pytest.fixture
+def tuned(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def tune(**options):
+        for key, value in options.items():
+            name = "spark.sql." + key.replace("_", ".")
+            before[name] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+
+    yield tune
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_hot_key_is_split_in_the_target_join(spark, tuned):
+    from pyspark.sql import functions as F
+
+    from regua.operators.targets import attach_targets
+
+    tuned(
+        autoBroadcastJoinThreshold="-1",
+        adaptive_advisoryPartitionSizeInBytes="64k",
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="128k",
+        adaptive_skewJoin_skewedPartitionFactor="2",
+    )
+    hot = F.col("id") % 3 == 0
+    city = F.when(hot, 1).otherwise(F.col("id") % 5000).cast("int")
+    results = spark.range(0, 300000, 1, 16).select(
+        F.lit(2024).alias("ano"),
+        city.alias("id_municipio"),
+        F.lit("Pública").alias("rede_descricao"),
+        F.sha2(F.col("id").cast("string"), 256).alias("texto"),
+    )
+    targets = spark.range(5000).select(
+        F.lit(2024).alias("ano"),
+        F.col("id").cast("int").alias("id_municipio"),
+        F.lit("Pública").alias("rede_descricao"),
+        F.lit(60.0).alias("meta_alfabetizacao_2024"),
+        F.lit(90.0).alias("percentual_participacao"),
+    )
+    joined = attach_targets(results, targets, "id_municipio", [2024])
+    found = joined.agg(
+        F.count("meta_alfabetizacao_2024").alias("matched"), F.max("texto")
+    )
+    assert found.collect()[0].matched == 300000
+    assert "SortMergeJoin(skew=true)" in planned(found)
