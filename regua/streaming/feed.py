@@ -17,6 +17,7 @@ from regua.schemas import EVENT_FIELDS
 VALID, INVALID = "valido", "invalido"
 STATE_COLUMN = "situacao"
 DAY_COLUMN = "dt_ingestao"
+_MARKER = "fim-do-evento"
 
 ENVELOPE = T.StructType(
     [T.StructField("kinesis", T.StructType([T.StructField("data", T.StringType())]))]
@@ -39,32 +40,43 @@ def decode_events(
 ) -> DataFrame:
     """Decode, parse and stamp.
 
-    An event is valid when its bytes are UTF-8 text holding one JSON object.
-    The text is kept beside the declared fields, so unknown keys survive, and a
-    field of an unexpected type becomes NULL without spoiling the event. An
-    invalid event keeps its original encoded form.
+    An event is valid when its bytes are UTF-8 text holding one JSON object and
+    nothing else. The text is kept beside the declared fields, so unknown keys
+    survive, and a field of an unexpected type becomes NULL without spoiling the
+    event. An invalid event keeps its original encoded form.
+
+    The parser stops at the end of the first value. Parsing the text as the
+    first of two elements makes anything that follows it visible: either the
+    array breaks, or its second element is not the marker.
     """
     encoded = F.col(data)
     text = F.try_to_binary(encoded, F.lit("base64")).cast("string")
     now_utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     parsed = envelopes.select(
         encoded.alias("_encoded"), F.when(F.is_valid_utf8(text), text).alias("payload")
-    ).withColumn("_json", F.try_parse_json("payload"))
+    ).withColumn(
+        "_json", F.try_parse_json(F.concat(F.lit("["), "payload", F.lit(f', "{_MARKER}"]')))
+    )
     is_object = F.coalesce(
-        F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False)
+        F.col("payload").rlike(r"^\s*\{")
+        & (F.try_variant_get("_json", "$[1]", "string") == _MARKER),
+        F.lit(False),
     )
-    return parsed.select(
-        *[
-            F.try_variant_get("_json", f"$.{name}", kind).alias(name)
-            for name, kind in fields.items()
-        ],
-        F.when(is_object, F.col("payload")).alias("payload"),
-        F.when(~is_object, F.col("_encoded")).alias("rejected"),
-        F.concat(
-            F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
-        ).alias("_ingestion_ts"),
-        F.when(is_object, VALID).otherwise(INVALID).alias(STATE_COLUMN),
-        F.to_date(now_utc).alias(DAY_COLUMN),
+    return (
+        parsed.withColumn("_valid", is_object)
+        .select(
+            *[
+                F.when(F.col("_valid"), F.try_variant_get("_json", f"$[0].{name}", kind)).alias(name)
+                for name, kind in fields.items()
+            ],
+            F.when(F.col("_valid"), F.col("payload")).alias("payload"),
+            F.when(~F.col("_valid"), F.col("_encoded")).alias("rejected"),
+            F.concat(
+                F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
+            ).alias("_ingestion_ts"),
+            F.when(F.col("_valid"), VALID).otherwise(INVALID).alias(STATE_COLUMN),
+            F.to_date(now_utc).alias(DAY_COLUMN),
+        )
     )
 
 

@@ -63,16 +63,19 @@ def test_payload_year_is_not_the_ingestion_year(spark, tmp_path):
 
 
 def test_unknown_keys_and_odd_types_pass(spark, tmp_path):
-    put(tmp_path / "in", "a.jsonl", [{**EVENT, "ano": "dois mil", "novo": {"a": [1]}}, {}])
+    spaced = "\n\t {} \r\n"
+    put(tmp_path / "in", "a.jsonl", [{**EVENT, "ano": "dois mil", "novo": {"a": [1]}}, spaced])
     assert ingest(spark, tmp_path) == 2
     odd, empty = sorted(stored(spark, tmp_path), key=lambda r: -len(r.payload))
     assert odd.ano is None and odd.id_municipio == 3550308
     assert json.loads(odd.payload)["novo"] == {"a": [1]}
-    assert empty.payload == "{}" and empty.rede is None
+    assert empty.payload == spaced and empty.rede is None
 
 
 def test_bad_records_do_not_stop_the_batch(spark, tmp_path):
+    whole = json.dumps(EVENT)
     bad = ['{"ano": 20', "[1, 2]", '"text"', "12", "null", "", b"\xff\xfe{}", ("!!!",), (None,)]
+    bad += [whole + tail for tail in (" x", whole, ",", "," + whole, "]", "}", "] x", ", 1]")]
     put(tmp_path / "in", "a.jsonl", [EVENT, *bad])
     assert ingest(spark, tmp_path) == 1 + len(bad)
     assert len(stored(spark, tmp_path)) == 1
