@@ -95,7 +95,8 @@ target AS (
 )"""
 
 
-PICK = "CASE ano " + " ".join(f"WHEN {y} THEN meta_alfabetizacao_{y}" for y in TARGET_YEARS) + " END"
+_CASES = " ".join(f"WHEN {y} THEN meta_alfabetizacao_{y}" for y in TARGET_YEARS)
+PICK = f"CASE ano {_CASES} END"
 TARGET_LIST = ", ".join(TARGETS)
 STATUS = """CASE WHEN meta_ano IS NULL THEN 'SEM_META'
             WHEN gap_meta >= 0 THEN 'ATINGIU_META' ELSE 'ABAIXO_META' END"""

@@ -27,7 +27,9 @@ class QualityError(ValueError):
     """A gate failed."""
 
 
-def _graded(counts: DataFrame, tolerated_pct: int | Column | None = 0, empty_fails: bool = False) -> DataFrame:
+def _graded(
+    counts: DataFrame, tolerated_pct: int | Column | None = 0, empty_fails: bool = False
+) -> DataFrame:
     """Add percentage and severity. ``None`` tolerates any number of violations."""
     violations, total = F.col("violations"), F.col("total")
     fails = F.lit(False) if tolerated_pct is None else violations * 100 > total * tolerated_pct
@@ -73,7 +75,9 @@ def _disagrees_with_cut(score: str, flag: str, cut: float) -> Column:
     return (above & (F.col(flag) != 1)) | (~above & (F.col(flag) != 0))
 
 
-def check_range(df: DataFrame, table: str, prefixes: tuple[str, ...] = PERCENT_PREFIXES) -> DataFrame:
+def check_range(
+    df: DataFrame, table: str, prefixes: tuple[str, ...] = PERCENT_PREFIXES
+) -> DataFrame:
     """Percentages outside 0 to 100. NULL is accepted."""
     names = [name for name in df.columns if name.startswith(prefixes)]
     return _graded(_tally(df, table, [("range_0_100", n, _outside_percent(n)) for n in names]))
@@ -204,10 +208,15 @@ def cast_losses(
     Such values silently become NULL when a file is read. The usual reason is a
     decimal mark other than the one the reader was told.
     """
+    def lost(name: str, kind: str) -> Column:
+        typed = cast_to(F.col(name), T.StringType(), kind, decimal_mark)
+        return (F.trim(F.col(name)) != "") & typed.isNull()
+
+    texts = {f.name for f in text.schema if isinstance(f.dataType, T.StringType)}
     checks = [
-        ("cast_loss", name, (F.trim(name) != "") & cast_to(F.col(name), kept, kind, decimal_mark).isNull())
+        ("cast_loss", name, lost(name, kind))
         for name, kind in types.items()
-        if kind != "string" and isinstance(kept := text.schema[name].dataType, T.StringType)
+        if kind != "string" and name in texts
     ]
     return _graded(_tally(text, table, checks), None)
 
@@ -218,7 +227,8 @@ def enforce(report: DataFrame) -> None:
     failed = None
     for row in rows:
         where = f"{row['table']}.{row['column']}"
-        message = f"{row['check']} on {where}: {row['violations']} of {row['total']} ({row['pct']}%)"
+        counts = f"{row['violations']} of {row['total']} ({row['pct']}%)"
+        message = f"{row['check']} on {where}: {counts}"
         if row["severity"] == FAIL and failed is None:
             failed = message
         elif row["severity"] != OK:

@@ -25,10 +25,13 @@ def run(
     silver: str,
     gold: str,
     database: str | None = None,
-    **reading,
+    **silver_options,
 ) -> None:
-    """Build both layers. A failed gate stops before anything analytical is written."""
-    build_silver(spark, bronze, silver, **reading)
+    """Build both layers. A failed gate stops before anything analytical is written.
+
+    Further options go to :func:`regua.plans.silver.build_silver`.
+    """
+    build_silver(spark, bronze, silver, **silver_options)
     enforce(check_silver(spark, silver))
     # The duplicate gate has passed, so counting ids needs no distinct.
     build_gold(spark, silver, gold, ids_unique=True)

@@ -18,10 +18,15 @@ def conformed(spark: SparkSession, bronze: str, name: str, **reading) -> DataFra
     return conform_aggregate(raw)
 
 
-def build_silver(spark: SparkSession, bronze: str, silver: str, **reading) -> None:
+def build_silver(
+    spark: SparkSession, bronze: str, silver: str, *, gather: bool = True, **reading
+) -> None:
+    """Write all entities. ``gather=False`` saves the shuffle before each write
+    where raw files already hold few partitions each."""
     for name, entity in ENTITIES.items():
         write_partitioned(
             conformed(spark, bronze, name, **reading),
             f"{silver.rstrip('/')}/{name}",
             entity.partitions,
+            gather=gather,
         )

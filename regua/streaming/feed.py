@@ -62,21 +62,18 @@ def decode_events(
         & (F.try_variant_get("_json", "$[1]", "string") == _MARKER),
         F.lit(False),
     )
-    return (
-        parsed.withColumn("_valid", is_object)
-        .select(
-            *[
-                F.when(F.col("_valid"), F.try_variant_get("_json", f"$[0].{name}", kind)).alias(name)
-                for name, kind in fields.items()
-            ],
-            F.when(F.col("_valid"), F.col("payload")).alias("payload"),
-            F.when(~F.col("_valid"), F.col("_encoded")).alias("rejected"),
-            F.concat(
-                F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
-            ).alias("_ingestion_ts"),
-            F.when(F.col("_valid"), VALID).otherwise(INVALID).alias(STATE_COLUMN),
-            F.to_date(now_utc).alias(DAY_COLUMN),
-        )
+    valid = F.col("_valid")
+    iso = F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return parsed.withColumn("_valid", is_object).select(
+        *[
+            F.when(valid, F.try_variant_get("_json", f"$[0].{name}", kind)).alias(name)
+            for name, kind in fields.items()
+        ],
+        F.when(valid, F.col("payload")).alias("payload"),
+        F.when(~valid, F.col("_encoded")).alias("rejected"),
+        F.concat(iso, F.lit("+00:00")).alias("_ingestion_ts"),
+        F.when(valid, VALID).otherwise(INVALID).alias(STATE_COLUMN),
+        F.to_date(now_utc).alias(DAY_COLUMN),
     )
 
 

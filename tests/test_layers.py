@@ -109,7 +109,8 @@ def test_overwrite_leaves_other_years_alone(spark, tmp_path):
 
 def test_missing_partition_value_survives(spark, tmp_path):
     path = str(tmp_path / "t")
-    df = spark.createDataFrame([(2024, None, 1), (None, "SP", 2)], "ano int, sigla_uf string, v int")
+    rows = [(2024, None, 1), (None, "SP", 2)]
+    df = spark.createDataFrame(rows, "ano int, sigla_uf string, v int")
     write_partitioned(df, path, ["ano", "sigla_uf"])
     assert {(r.ano, r.sigla_uf, r.v) for r in read_table(spark, path).collect()} == {
         (2024, None, 1), (None, "SP", 2)}
