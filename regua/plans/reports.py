@@ -38,9 +38,12 @@ def below_target_latest(city: DataFrame, k: int = 50) -> DataFrame:
 
 
 def entity_history(city: DataFrame, entity_id: int = FOLLOWED_CITY) -> DataFrame:
-    """One municipality over the years. The id is compared as a number, so the
-    comparison reaches the file scan."""
-    chosen = city.where(F.col(CITY) == entity_id)
+    """One municipality over the years.
+
+    The id may be stored as number or text. The value takes the column's type,
+    not the other way round, so that the comparison reaches the file scan.
+    """
+    chosen = city.where(F.col(CITY) == F.lit(entity_id).cast(city.schema[CITY].dataType))
     return chosen.orderBy(*ascending("ano", "rede", "serie")).select(*_CITY_VIEW)
 
 
@@ -152,6 +155,9 @@ def official_vs_micro(
     keys = [CITY, "rede"]
     official_ties = ["serie", RESULT]
     micro_ties = ["_micro_ano", STATE, "nome_municipio"]
+    if city.schema[CITY].dataType != micro.schema[CITY].dataType:
+        # One side stores the id as text: compare as text.
+        city, micro = (df.withColumn(CITY, F.col(CITY).cast("string")) for df in (city, micro))
     official = keep_latest(city).select("ano", *keys, "serie", RESULT)
     recomputed = micro.select(
         *keys, STATE, "nome_municipio", F.col("ano").alias("_micro_ano"), computed

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from regua.operators.ranking import best_and_worst, keep_extremes
 from regua.plans import reports
@@ -61,6 +62,15 @@ def test_history_is_ordered(spark):
     assert [(r.ano, r.rede) for r in rows] == [(2023, "P"), (2024, "M"), (2024, "P")]
 
 
+def test_ids_may_be_text_on_either_side(spark):
+    text = city(spark, [(2024, 3550308, "M", 60.0, None), (2024, 9, "M", 1.0, None)]).withColumn(
+        "id_municipio", F.col("id_municipio").cast("string"))
+    assert reports.entity_history(text).count() == 1
+    units = micro(spark, [(2024, 3550308, "M", 50.0)])
+    row = reports.official_vs_micro(text, units).first()
+    assert (row.id_municipio, row.diferenca_oficial_vs_microdados) == ("3550308", 10.0)
+
+
 def test_state_ranking_puts_missing_results_last(spark):
     rows = [(2024, uf, 2, "Pública", rate, 740.0, None, None, "SEM_META")
             for uf, rate in [("AC", None), ("CE", 85.0), ("SP", 60.0)]]
