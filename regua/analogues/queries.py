@@ -145,13 +145,15 @@ def _fresh_name(spark: SparkSession, prefix: str) -> str:
 
 def parquet_partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "municipio")
-    write_partitioned(views.results(workspace.silver_micro(spark, sf), CITY), path)
+    results = views.results(workspace.silver_micro(spark, sf), CITY)
+    write_partitioned(results, path, order=ENTITIES["municipio"].order)
     return read_table(spark, path)
 
 
 def parquet_two_level_write(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "aluno")
-    write_partitioned(views.micro(spark, sf), path, ENTITIES["aluno"].partitions)
+    layout = ENTITIES["aluno"]
+    write_partitioned(views.micro(spark, sf), path, layout.partitions, order=layout.order)
     return read_table(spark, path).select("ano", STATE, "id_aluno", "proficiencia_lp")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regua.analogues import views
 from regua.plans.gold import gold_indicator, gold_micro, gold_national
+from regua.schemas import ENTITIES, GOLD_ORDER, GOLD_PARTITIONS
 from regua.session import scratch_path
 from regua.sinks.files import write_partitioned
 from regua.sources.tables import read_table
@@ -32,17 +33,20 @@ def stored(
     sf_dir: str,
     name: str,
     build: Callable[[], DataFrame],
-    partitions: tuple[str, ...] = ("ano",),
 ) -> DataFrame:
     """The table ``name`` over ``sf_dir``, written by ``build`` if nobody has yet.
 
-    The frame that reads it is kept as well, since it holds the file listing.
+    It is laid out like the table whose part it plays. The frame that reads it is kept as well, since it holds the file listing.
     """
     key = _key(spark, sf_dir, name)
     with _building:
         if key not in _stored:
             path = scratch_path(spark, name)
-            write_partitioned(build(), path, partitions)
+            if name in ENTITIES:
+                partitions, order = ENTITIES[name].partitions, ENTITIES[name].order
+            else:
+                partitions, order = GOLD_PARTITIONS, GOLD_ORDER.get(name, ())
+            write_partitioned(build(), path, partitions, order=order)
             _stored[key] = path, read_table(spark, path)
         return _stored[key][1]
 
@@ -52,9 +56,7 @@ def path_of(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def silver_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(
-        spark, sf_dir, "aluno", lambda: views.micro(spark, sf_dir), ("ano", views.STATE)
-    )
+    return stored(spark, sf_dir, "aluno", lambda: views.micro(spark, sf_dir))
 
 
 def silver_pair(spark: SparkSession, sf_dir: str, entity: str) -> tuple[DataFrame, DataFrame]:

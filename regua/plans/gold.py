@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from regua.operators.rollup import rate_rollup
 from regua.operators.targets import attach_targets, compare_with_target
-from regua.schemas import CUT_SCORE, GOLD_PARTITIONS, TARGET_YEARS, target_columns
+from regua.schemas import (
+    CUT_SCORE,
+    GOLD_ORDER,
+    GOLD_PARTITIONS,
+    TARGET_YEARS,
+    target_columns,
+)
 from regua.sinks.files import write_partitioned
 from regua.sources.tables import read_layer
 
@@ -66,4 +72,5 @@ def build_gold(
         "indicador_brasil": gold_national(read("meta_brasil")),
     }
     for name, table in tables.items():
-        write_partitioned(table, f"{gold.rstrip('/')}/{name}", GOLD_PARTITIONS)
+        path = f"{gold.rstrip('/')}/{name}"
+        write_partitioned(table, path, GOLD_PARTITIONS, order=GOLD_ORDER.get(name, ()))

@@ -28,5 +28,6 @@ def build_silver(
             conformed(spark, bronze, name, **reading),
             f"{silver.rstrip('/')}/{name}",
             entity.partitions,
+            order=entity.order,
             gather=gather,
         )

@@ -61,6 +61,7 @@ class Entity:
     key: tuple[str, ...]
     types: Mapping[str, str] = field(default_factory=dict)
     partitions: tuple[str, ...] = ("ano",)
+    order: tuple[str, ...] = ()
     sep: str = ","
     encoding: str = "UTF-8"
 
@@ -100,6 +101,7 @@ ENTITIES = {
             "meta_municipio",
             ("ano", "id_municipio", "rede"),
             {"ano": "int", "id_municipio": "int", **_TARGET_TYPES},
+            order=("id_municipio",),
         ),
         Entity(
             "uf",
@@ -115,6 +117,7 @@ ENTITIES = {
             "municipio",
             ("ano", "id_municipio", "serie", "rede"),
             {"ano": "int", "id_municipio": "int", **_RESULT_TYPES},
+            order=("id_municipio",),
         ),
         Entity(
             "aluno",
@@ -124,6 +127,7 @@ ENTITIES = {
                 for raw, name in MICRODATA_NAMES.items()
             },
             partitions=("ano", "sigla_uf"),
+            order=("id_municipio",),
             sep=";",
             encoding="ISO-8859-1",
         ),
@@ -131,6 +135,8 @@ ENTITIES = {
 }
 
 GOLD_PARTITIONS = ("ano",)
+# Column by which each analytical table is sorted within its files.
+GOLD_ORDER = {"indicador_municipio": ("id_municipio",), "aluno_municipio": ("id_municipio",)}
 
 
 def _gold_indicator(entity: tuple[str, str] | None) -> dict[str, str]:

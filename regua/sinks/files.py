@@ -14,6 +14,7 @@ def write_partitioned(
     path: str,
     partitions: Sequence[str] = ("ano",),
     *,
+    order: Sequence[str] = (),
     gather: bool = True,
 ) -> None:
     """Replace the partitions present in ``df`` and leave all others alone.
@@ -23,9 +24,14 @@ def write_partitioned(
     shuffle blocks and, unlike a plain repartition, cuts a partition holding a
     large part of all rows into pieces of the advisory size. Turn it off when
     the input already arrives in the order of its partitions.
+
+    ``order`` sorts rows within each file, so that a filter on these columns
+    skips row groups. The writer sorts by the partition columns in any case.
     """
     if gather:
         df = df.hint("rebalance", *partitions)
+    if order:
+        df = df.sortWithinPartitions(*partitions, *order)
     (
         df.write.mode("overwrite")
         .option("compression", "snappy")

@@ -132,3 +132,18 @@ def test_gathering_limits_files_and_splits_a_large_year(spark, tmp_path):
              for year in (2023, 2024)}
     assert files[2023] <= 2 and 2 <= files[2024] < 16
     assert read_table(spark, str(tmp_path / "t")).count() == 400000
+
+
+def test_rows_are_sorted_within_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 50000, 1, 8).select(
+        (2020 + F.col("id") % 3).cast("int").alias("ano"),
+        F.concat(F.lit("U"), F.col("id") % 5).alias("sigla_uf"),
+        F.pmod(F.xxhash64("id"), F.lit(700)).cast("int").alias("id_municipio"))
+    layout = ENTITIES["aluno"]
+    write_partitioned(df, path, layout.partitions, order=layout.order)
+    files = [str(f) for f in (tmp_path / "t").rglob("*.parquet")]
+    assert len(files) >= 15
+    for file in files:
+        ids = [r.id_municipio for r in spark.read.parquet(file).collect()]
+        assert ids == sorted(ids)
