@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as registered
 from compare import connect, difference
+from regua.analogues.oracle import ORACLE
+from regua.analogues.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
-QUERIES, ORACLE = registered.queries(), registered.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,8 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(ORACLE) <= set(registered.oracle_sql())
 
 
 def test_flagship(spark):
