@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regua.llm import covering_simhash, decontaminate, ga2m_quality, radix_dedup
+from regua.llm import byte_bpe, covering_simhash, decontaminate, ga2m_quality, radix_dedup
 from regua.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_bpe.digests(read(spark, sf, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return radix_dedup.exact_duplicates(read(spark, sf, "documents"))
 
@@ -30,6 +34,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
