@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regua.llm import byte_bpe, covering_simhash, decontaminate, ga2m_quality, radix_dedup
+from regua.llm import (
+    byte_bpe,
+    covering_simhash,
+    decontaminate,
+    ga2m_quality,
+    language_birnn,
+    radix_dedup,
+    token_dp,
+)
 from regua.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +32,14 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return radix_dedup.exact_duplicates(read(spark, sf, "documents"))
 
 
+def op6_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language_birnn.languages(read(spark, sf, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_dp.token_counts(read(spark, sf, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return covering_simhash.near_duplicates(read(spark, sf, "documents"))
 
@@ -36,6 +52,8 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_language": op6_language,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
 }
