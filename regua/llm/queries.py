@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regua.llm import (
+    bloom_lm,
     byte_bpe,
     covering_simhash,
     decontaminate,
@@ -20,6 +21,10 @@ from regua.llm.common import read
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return bloom_lm.lm_scores(read(spark, sf, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
@@ -49,6 +54,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,

@@ -9,7 +9,8 @@ Equality rests on the characters alone; no digest is compared.
 Only ids, group numbers and the stretch of a level are shuffled, never whole
 texts. Members of a group are counted with map-side sums and learn their new
 group from a join that the adaptive skew join can split, so a group that holds
-a third of all rows never meets in one task.
+a third of all rows never meets in one task. Joins are sort-merge joins at every
+size, since the number of rows still alive is not bounded.
 
 Defined results: a null text is an empty text; all empty texts are one group;
 of rows with the same largest id exactly one stays; null ids count as smaller
@@ -55,7 +56,7 @@ def groups(base: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text"
         if alive is None:
             members = rows.withColumn("g", F.lit(0).cast("long"))
         else:
-            members = rows.join(alive, "r")
+            members = rows.join(alive.hint("merge"), "r")
         members = members if alive is None else store(members, "members")
         splits = store(
             members.groupBy("g", "stretch")
@@ -77,7 +78,7 @@ def groups(base: DataFrame, row: str, doc_id: str = "doc_id", text: str = "text"
             "splits",
         )
         level = store(
-            members.join(splits, ["g", "stretch"], "left").select(
+            members.join(splits.hint("merge"), ["g", "stretch"], "left").select(
                 "r",
                 F.col("next_g").alias("g"),
                 F.coalesce("n", F.lit(1).cast("long")).alias("n"),
@@ -105,7 +106,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     base = numbered(docs, "row", "sha")
     found = groups(base, "row")
-    return base.select("row", "doc_id", "sha").join(found, "row").select(
+    return base.select("row", "doc_id", "sha").join(found.hint("merge"), "row").select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -119,4 +120,4 @@ def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     row, sha = unused(docs, "row_number"), unused(docs, "text_digest")
     base = numbered(docs, row, sha, text)
     extra = groups(base, row, doc_id, text).where(F.col(row) != F.col("keep_row")).select(row)
-    return base.join(extra, row, "left_anti").select(docs.columns)
+    return base.join(extra.hint("merge"), row, "left_anti").select(docs.columns)
