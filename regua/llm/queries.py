@@ -14,6 +14,8 @@ from regua.llm import (
     ga2m_quality,
     language_birnn,
     radix_dedup,
+    suffix_dedup,
+    superkmer_dedup,
     token_dp,
 )
 from regua.llm.common import read
@@ -33,6 +35,10 @@ def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return radix_dedup.exact_duplicates(read(spark, sf, "documents"))
 
@@ -41,6 +47,10 @@ def op6_language(spark: SparkSession, sf: str) -> DataFrame:
     return language_birnn.languages(read(spark, sf, "documents"))
 
 
+def op7_superkmer_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return superkmer_dedup.remove_passages(read(spark, sf, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_dp.token_counts(read(spark, sf, "documents"))
 
@@ -57,8 +67,10 @@ QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language": op6_language,
+    "op7_superkmer_dedup": op7_superkmer_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,

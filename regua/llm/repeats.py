@@ -176,7 +176,7 @@ def minimisers(units: Units, runs: Runs) -> pa.Table:
     )
 
 
-def _repeated(group: pa.Table, across: bool) -> pa.Table:
+def _repeated(group: pa.Table, across: bool, split_bytes: int) -> pa.Table:
     """Answers of a bucket of minimisers: 0 unique, 1 repeated, 2 repeated and to be split."""
     tables = [unpack(b) for b in group.column("block").to_pylist()]
     whole = pa.concat_tables(tables)
@@ -189,7 +189,7 @@ def _repeated(group: pa.Table, across: bool) -> pa.Table:
         again = low < high
     else:
         again = np.bincount(inverse, whole.column("often").to_numpy(), len(codes)) > 1
-    answer = np.where(again, np.where(size > SPLIT_BYTES, 2, 1), 0).astype(np.uint8)
+    answer = np.where(again, np.where(size > split_bytes, 2, 1), 0).astype(np.uint8)
     cuts = np.cumsum([0] + [t.num_rows for t in tables]).tolist()
     first = [1] + [0] * (len(tables) - 1)
     return pa.table(
@@ -434,6 +434,7 @@ def repeated_windows(
     across: bool,
     finish: Callable[[Units, np.ndarray, np.ndarray], pa.Table],
     schema: str,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Find windows of stored slices that stand elsewhere too, and let ``finish`` make rows of each slice from them.
 
@@ -460,7 +461,7 @@ def repeated_windows(
         narrow.mapInArrow(count, SENT)
         .groupBy("bucket")
         .applyInArrow(
-            lambda group: _repeated(group, across),
+            lambda group: _repeated(group, across, split_bytes),
             "bucket long, slice long, block binary, plain long, split long",
         ),
         "minimisers",
