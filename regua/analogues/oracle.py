@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-YEARS = range(1995, 2002)
 TARGET_YEARS = range(1996, 2002)
 CUT = 250000
 NEW_YEARS = 1999
@@ -11,7 +10,17 @@ TARGETS = [f"meta_alfabetizacao_{year}" for year in TARGET_YEARS]
 
 
 def rounded(value: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(30,8)), {digits}) AS DOUBLE)"
+    kept = "".join(
+        f" WHEN ABS({value}) < {limit} THEN CAST(ROUND(CAST({value} AS DECIMAL(38,{scale})), {digits}) AS DOUBLE)"
+        for limit, scale in ((1000, 12), (1000000, 9), (1000000000, 6))
+    )
+    return f"CASE{kept} ELSE ROUND({value}, {digits}) END"
+
+
+def percentage(part: str, whole: str, digits: int = 2) -> str:
+    """Whole numbers only, rounded half up once."""
+    doubled = f"CAST({part} AS HUGEINT) * {2 * 10 ** (digits + 2)} + {whole}"
+    return f"CAST(({doubled}) // (2 * {whole}) AS DOUBLE) / {10**digits}"
 
 
 def mean(value: str, digits: int = 2) -> str:
@@ -19,7 +28,7 @@ def mean(value: str, digits: int = 2) -> str:
 
 
 def rate(flag: str) -> str:
-    return rounded(f"AVG({flag}) * 100", 2)
+    return percentage(f"SUM({flag})", f"COUNT({flag})")
 
 
 def label(code: str, text: str) -> str:
@@ -91,7 +100,7 @@ target AS (
            {rate("CASE WHEN in_alfabetizado IS NOT NULL THEN 1 ELSE 0 END")}
              AS percentual_participacao
     FROM micro WHERE rede_descricao <> 'LOW' GROUP BY {entity}, rede_descricao
-  ) t CROSS JOIN (SELECT CAST(unnest(range({YEARS.start}, {YEARS.stop})) AS INTEGER) AS ano) p
+  ) t CROSS JOIN (SELECT DISTINCT ano FROM micro WHERE ano IS NOT NULL) p
 )"""
 
 
@@ -177,7 +186,7 @@ def report_row(check: str, table: str, column: str, bad: str, total: str, limit:
   SELECT '{check}' AS "check", '{table}' AS "table", '{column}' AS "column",
          CAST({bad} AS BIGINT) AS violations, CAST({total} AS BIGINT) AS total,
          CASE WHEN {total} > 0
-              THEN {rounded(f"CAST({bad} AS DOUBLE) / {total} * 100", 4)} ELSE 0.0 END AS pct,
+              THEN {percentage(bad, total, 4)} ELSE 0.0 END AS pct,
          CASE WHEN {bad} * 100 > {total} * {limit} THEN 'fail'
               WHEN {bad} > 0 THEN 'warn' ELSE 'ok' END AS severity"""
 
@@ -267,6 +276,21 @@ SELECT ano, rede, {by}, COUNT(*) AS qtd_municipios,
 FROM {source} GROUP BY ano, rede, {by}"""
 
 
+RESULT = "taxa_alfabetizacao_resultado"
+
+# Results with gaps: the rate of one year is missing.
+GAPPY = f"""
+gappy AS (
+  SELECT ano, id_municipio, rede, CASE WHEN ano <> {NEW_YEARS} THEN taxa_alfabetizacao END AS taxa,
+         media_portugues
+  FROM result
+)"""
+
+
+def end_of_sort(name: str, order: str) -> str:
+    return f"(SELECT '{name}' AS ponta, * FROM gappy ORDER BY {order} LIMIT 60)"
+
+
 ORACLE: dict[str, str] = {
     "csv_roundtrip_comma": f"""
 WITH {MICRO}, {results("id_municipio")}
@@ -284,17 +308,39 @@ SELECT CASE WHEN year(o_orderdate) >= {NEW_YEARS} THEN '2024-02-15' ELSE '2024-0
        CAST(year(o_orderdate) AS INTEGER) AS ano, COUNT(*) AS n_rows
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY ALL""",
-    "parquet_scan": """
+    "parquet_scan": f"""
+WITH {MICRO}, {results("id_municipio")} SELECT * FROM result""",
+    "parquet_scan_pushed_filter": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
-    "catalog_table_scan": f"""
-{CITY} SELECT ano, id_municipio, rede, meta_ano, gap_meta, status_meta FROM gold""",
+    "catalog_table_scan": " UNION ALL ".join(
+        f"SELECT '{table}' AS tabela, ano, {entity} AS chave, rede, {rate_} AS taxa, {mark} AS marca "
+        f"FROM ({source})"
+        for table, entity, rate_, mark, source in (
+            ("indicador_municipio", "CAST(id_municipio AS VARCHAR)", RESULT, "status_meta",
+             f"{CITY} SELECT * FROM gold"),
+            ("indicador_uf", "sigla_uf", RESULT, "status_meta", f"{STATE} SELECT * FROM gold"),
+            ("indicador_brasil", "NULL", RESULT, "status_meta", f"{NATIONAL} SELECT * FROM compared"),
+            ("aluno_municipio", "CAST(id_municipio AS VARCHAR)", "taxa_alfabetizacao_microdados",
+             "nome_municipio", f"WITH {MICRO}, {GOLD_MICRO} SELECT * FROM gold_micro"),
+        )
+    ),
     "catalog_repair_partitions": f"""
 WITH {MICRO}, {GOLD_MICRO}
 SELECT ano, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_rows_before FROM gold_micro GROUP BY ano""",
     "parquet_partitioned_write": f"""
 WITH {MICRO}, {results("id_municipio")} SELECT * FROM result""",
     "parquet_two_level_write": f"""
-WITH {MICRO} SELECT ano, sigla_uf, id_aluno, proficiencia_lp FROM micro""",
+WITH {MICRO}
+SELECT * REPLACE (CAST(in_alfabetizado AS VARCHAR) AS in_alfabetizado) FROM micro""",
+    "partition_load_select": f"""
+WITH {MICRO}, {results("id_municipio")}
+SELECT ano, id_municipio, serie, rede, taxa_alfabetizacao, media_portugues,
+       CAST(NULL AS VARCHAR) AS observacao, '2024-01' AS dt_carga
+FROM raw_result WHERE ano < {NEW_YEARS}
+UNION ALL
+SELECT ano, id_municipio, serie, rede, taxa_alfabetizacao, media_portugues,
+       'x' || id_municipio, '2025-01'
+FROM raw_result WHERE ano >= {NEW_YEARS}""",
     "dynamic_partition_overwrite": f"""
 WITH {MICRO}, {results("id_municipio")}
 SELECT *, CAST(CASE WHEN ano >= {NEW_YEARS} THEN 2 ELSE 1 END AS INTEGER) AS versao
@@ -361,10 +407,10 @@ WITH {MICRO}
 SELECT ano, sigla_uf, {rate("in_alfabetizado")} AS taxa_oficial,
        {rate("fl_alfabetizado_calculado")} AS taxa_calculada
 FROM micro GROUP BY ano, sigla_uf""",
-    "sort_nulls_last": f"""
-WITH {MICRO}, {results("id_municipio")}
-SELECT ano, id_municipio, rede, taxa_alfabetizacao, media_portugues FROM result
-ORDER BY taxa_alfabetizacao DESC NULLS LAST, id_municipio, rede, ano""",
+    "sort_nulls_last": f"WITH {MICRO}, {results('id_municipio')}, {GAPPY} "
+    + end_of_sort("inicio", "taxa DESC NULLS LAST, id_municipio, rede, ano")
+    + " UNION ALL "
+    + end_of_sort("fim", "taxa ASC NULLS FIRST, id_municipio DESC, rede DESC, ano DESC"),
     "topk_lowest": f"""
 WITH {MICRO}, {results("id_municipio")}
 SELECT ano, id_municipio, rede, taxa_alfabetizacao, media_portugues FROM result

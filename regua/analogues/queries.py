@@ -9,6 +9,7 @@ tables, as in the layered flow of :mod:`regua.plans`; see
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -89,7 +90,25 @@ def partition_discovery(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def partition_load_select(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of three loads, one of which has a column that the other lacks."""
+    bronze = scratch_path(spark, "bronze")
+    city, raw = ENTITIES["municipio"], _raw_city(spark, sf)
+    recent = F.col("ano") >= NEW_YEARS
+    land_delimited(raw.where(~recent), bronze, city, "2024-01")
+    note = F.concat(F.lit("x"), CITY)
+    land_delimited(raw.where(recent).withColumn("observacao", note), bronze, city, "2025-01")
+    land_delimited(raw.select("ano", "rede"), bronze, city, "2026-01")
+    return read_entity(spark, bronze, city, loads=["2024-01", "2025-01"])
+
+
 def parquet_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole stored entity."""
+    workspace.silver_pair(spark, sf, CITY)
+    return read_table(spark, workspace.path_of(spark, sf, "municipio"))
+
+
+def parquet_scan_pushed_filter(spark: SparkSession, sf: str) -> DataFrame:
     return views.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )
@@ -114,8 +133,22 @@ def catalog_table_scan(spark: SparkSession, sf: str) -> DataFrame:
         location = workspace.path_of(spark, sf, name)
         catalog.create_external_table(spark, table, _gold_columns(df), location)
         catalog.repair_partitions(spark, table)
-    city = scan_catalog(spark, database, "gold_indicador_municipio")
-    return city.select("ano", CITY, "rede", "meta_ano", "gap_meta", "status_meta")
+    shown = []
+    for name in stored:
+        df = scan_catalog(spark, database, f"gold_{name}")
+        entity = next((c for c in (CITY, STATE) if c in df.columns), None)
+        units = name == "aluno_municipio"
+        shown.append(
+            df.select(
+                F.lit(name).alias("tabela"),
+                "ano",
+                (F.col(CITY if units else entity) if entity else F.lit(None)).cast("string").alias("chave"),
+                "rede",
+                F.col("taxa_alfabetizacao_microdados" if units else reports.RESULT).alias("taxa"),
+                F.col("nome_municipio" if units else "status_meta").alias("marca"),
+            )
+        )
+    return reduce(DataFrame.unionAll, shown)
 
 
 def catalog_repair_partitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,7 +187,7 @@ def parquet_two_level_write(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "aluno")
     layout = ENTITIES["aluno"]
     write_partitioned(views.micro(spark, sf), path, layout.partitions, order=layout.order)
-    return read_table(spark, path).select("ano", STATE, "id_aluno", "proficiencia_lp")
+    return _as_text(read_table(spark, path), "in_alfabetizado")
 
 
 def dynamic_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
@@ -374,9 +407,21 @@ def _city_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sort_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
-    return _city_results(spark, sf).orderBy(
-        *descending("taxa_alfabetizacao"), *ascending(*_RESULT_TIES)
+    """Both ends of a full sort, missing rates included."""
+    gappy = _city_results(spark, sf).select(
+        "ano",
+        CITY,
+        "rede",
+        F.when(F.col("ano") != NEW_YEARS, F.col("taxa_alfabetizacao")).alias("taxa"),
+        "media_portugues",
     )
+    ordered = [*descending("taxa"), *ascending(*_RESULT_TIES)]
+    backwards = [F.col("taxa").asc_nulls_first(), *[F.col(c).desc() for c in _RESULT_TIES]]
+    ends = (
+        gappy.orderBy(*order).limit(60).select(F.lit(name).alias("ponta"), "*")
+        for name, order in (("inicio", ordered), ("fim", backwards))
+    )
+    return reduce(DataFrame.unionAll, ends)
 
 
 def topk_lowest(spark: SparkSession, sf: str) -> DataFrame:
@@ -456,12 +501,11 @@ def _land_feed(spark: SparkSession, sf: str, broken: bool = False) -> str:
     return source
 
 
-def _ingest(spark: SparkSession, source: str, target: str, checkpoint: str) -> int:
-    query = feed.start_ingest(
-        feed.read_envelopes(spark, source), target, checkpoint, FEED_FIELDS
-    )
-    query.awaitTermination()
-    return feed.records_written(query)
+def _ingest(
+    spark: SparkSession, source: str, target: str, checkpoint: str, files: int | None = None
+) -> int:
+    envelopes = feed.read_envelopes(spark, source, files)
+    return feed.ingest(envelopes, target, checkpoint, FEED_FIELDS).total
 
 
 def stream_envelope_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -532,7 +576,9 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_semicolon_latin1": csv_roundtrip_semicolon_latin1,
     "csv_infer_types": csv_infer_types,
     "partition_discovery": partition_discovery,
+    "partition_load_select": partition_load_select,
     "parquet_scan": parquet_scan,
+    "parquet_scan_pushed_filter": parquet_scan_pushed_filter,
     "catalog_table_scan": catalog_table_scan,
     "catalog_repair_partitions": catalog_repair_partitions,
     "parquet_partitioned_write": parquet_partitioned_write,

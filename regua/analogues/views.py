@@ -15,8 +15,7 @@ from regua.schemas import TARGET_PREFIX
 from regua.sources.tables import read_table
 
 CUT = 250000
-YEARS = tuple(range(1995, 2002))
-TARGET_YEARS = YEARS[1:]
+TARGET_YEARS = tuple(range(1996, 2002))
 LABELS = {1: "URGENT", 2: "HIGH", 3: "MEDIUM", 4: "NOT SPECIFIED", 5: "LOW"}
 UNTARGETED = "LOW"
 CITIES_PER_STATE = 20
@@ -91,8 +90,8 @@ def raw_results(pupils: DataFrame, entity: str) -> DataFrame:
 def raw_targets(pupils: DataFrame, entity: str) -> DataFrame:
     """Targets per entity, with the network as text, published every year.
 
-    All target years come out of one pass, and the years of publication are a
-    fixed list unfolded after the aggregation.
+    All target years come out of one pass; the years of publication are those
+    of the unit records.
     """
     yearly = [
         rate(F.when(F.col("ano") == year, F.col("fl_alfabetizado_calculado"))).alias(
@@ -106,8 +105,8 @@ def raw_targets(pupils: DataFrame, entity: str) -> DataFrame:
         .groupBy(entity, F.col("rede_descricao").alias("rede"))
         .agg(*yearly, rate(answered).alias("percentual_participacao"))
     )
-    published = F.explode(F.array(*[F.lit(year) for year in YEARS])).alias("ano")
-    return targets.select(published, "*")
+    years = pupils.agg(F.array_sort(F.collect_set("ano")).alias("anos")).scalar()
+    return targets.select(F.explode(years).alias("ano"), "*")
 
 
 def raw_national(pupils: DataFrame) -> DataFrame:

@@ -25,7 +25,17 @@ _building = threading.RLock()
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
-    return spark.sparkContext.applicationId, sf_dir, name
+    """The table over the data as they are now: other files, sizes or times are other data."""
+    jvm = spark.sparkContext._jvm
+    listed = []
+    for table in ("orders", "customer", "nation"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(path):
+            listed.append(
+                f"{status.getPath()} {status.getLen()} {status.getModificationTime()}"
+            )
+    return spark.sparkContext.applicationId, "\n".join(listed), name
 
 
 def stored(

@@ -6,22 +6,44 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_WIDE = T.DecimalType(30, 8)
+# Decimals kept before rounding, by size of the value: some fifteen digits in all,
+# coarser than the noise of a double and finer than any rounding asked for.
+_KEPT = ((1e3, 12), (1e6, 9), (1e9, 6))
 
 
 def safe_round(value: Column, digits: int) -> Column:
     """Round half up on the decimal value, not on its binary neighbour.
 
     ``1.005`` is stored slightly below itself; going through a decimal first
-    gives the same answer on every engine and for every summation order whose
-    error stays below the eighth decimal.
+    gives the same answer on every engine and for every summation order, as long
+    as the error stays below the fifteenth digit. What is too large for that,
+    infinity and NaN are rounded as they are.
     """
-    return F.round(value.try_cast(_WIDE), digits).cast("double")
+    value = value.cast("double")
+    kept = [
+        (F.abs(value) < limit, F.round(value.try_cast(T.DecimalType(38, scale)), digits).cast("double"))
+        for limit, scale in _KEPT
+    ]
+    (first, rounded), *others = kept
+    found = F.when(first, rounded)
+    for size, rounded in others:
+        found = found.when(size, rounded)
+    return found.otherwise(F.round(value, digits))
+
+
+def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
+    """``part`` of ``whole`` in percent, both whole numbers, rounded half up once and exactly.
+
+    NULL when ``whole`` is 0.
+    """
+    doubled = part.cast("bigint") * (2 * 10 ** (digits + 2)) + whole
+    # The quotient is a whole number; rounding only takes back the division by doubles.
+    return F.round((doubled - F.try_mod(doubled, 2 * whole)) / (2 * whole)) / 10**digits
 
 
 def rate(flag: Column, digits: int = 2) -> Column:
     """Percentage of 1 in a 0/1 flag. Rows with a NULL flag are not counted."""
-    return safe_round(F.avg(flag) * 100, digits)
+    return percentage(F.sum(flag), F.count(flag), digits)
 
 
 def text_to_int(text: Column) -> Column:

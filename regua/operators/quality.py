@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from regua.functions.numeric import cast_to, safe_round
+from regua.functions.numeric import cast_to, percentage
 from regua.schemas import CUT_SCORE, ENTITIES, PERCENT_PREFIXES
 
 log = logging.getLogger(__name__)
@@ -35,7 +35,7 @@ def _graded(
     fails = F.lit(False) if tolerated_pct is None else violations * 100 > total * tolerated_pct
     if empty_fails:
         fails = fails | (total == 0)
-    pct = F.when(total > 0, safe_round(violations / total * 100, 4)).otherwise(0.0)
+    pct = F.when(total > 0, percentage(violations, total, 4)).otherwise(0.0)
     severity = F.when(fails, FAIL).when(violations > 0, WARN).otherwise(OK)
     return counts.select(
         "check", "table", "column", violations, total, pct.alias("pct"), severity.alias("severity")
@@ -158,21 +158,90 @@ def check_referential(
     )
 
 
-def check_microdata(micro: DataFrame, cut: float = CUT_SCORE) -> DataFrame:
-    """The row-level gates on unit records, counted together in one pass."""
-    bad_score = F.col("proficiencia_lp") < 0
-    bad_flag = _disagrees_with_cut("proficiencia_lp", "in_alfabetizado", cut)
-    counts = _tally(
-        micro,
-        "aluno",
-        [
-            ("negative", "proficiencia_lp", bad_score),
-            ("cut_agreement", "in_alfabetizado", bad_flag),
-            ("not_null", "rede_descricao", F.col("rede_descricao").isNull()),
-        ],
+def _unfolded(wide: DataFrame, rows: Sequence[tuple[str, str, str, str, str]]) -> DataFrame:
+    """One row of counts as report rows (check, table, column, violations, total) named by columns of ``wide``."""
+    structs = [
+        F.struct(
+            F.lit(check).alias("check"),
+            F.lit(table).alias("table"),
+            F.lit(column).alias("column"),
+            F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"),
+            F.coalesce(total, F.lit(0)).cast("bigint").alias("total"),
+        )
+        for check, table, column, violations, total in rows
+    ]
+    return wide.select(F.inline(F.array(*structs)))
+
+
+def check_microdata(micro: DataFrame, reference: DataFrame, cut: float = CUT_SCORE) -> DataFrame:
+    """The row-level gates on unit records and the referential one, from a single pass.
+
+    Counts are kept by municipality, so their sums give the row gates and their
+    keys the municipalities to look for in the reference.
+    """
+    key = "id_municipio"
+    checks = [
+        ("negative", "proficiencia_lp", F.col("proficiencia_lp") < 0),
+        (
+            "cut_agreement",
+            "in_alfabetizado",
+            _disagrees_with_cut("proficiencia_lp", "in_alfabetizado", cut),
+        ),
+        ("not_null", "rede_descricao", F.col("rede_descricao").isNull()),
+    ]
+    by_city = micro.groupBy(key).agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(bad).alias(f"bad_{i}") for i, (_, _, bad) in enumerate(checks)],
+    )
+    known = distinct_keys(reference, key).withColumn("_known", F.lit(True))
+    named = F.col(key).isNotNull()
+    wide = by_city.join(known, on=key, how="left").agg(
+        F.sum("total").alias("total"),
+        *[F.sum(f"bad_{i}").alias(f"bad_{i}") for i in range(len(checks))],
+        F.count_if(named & F.col("_known").isNull()).alias("orphans"),
+        F.count_if(named).alias("cities"),
+    )
+    rows = [
+        (check, "aluno", column, F.col(f"bad_{i}"), F.col("total"))
+        for i, (check, column, _) in enumerate(checks)
+    ]
+    rows.append(("referential", "aluno", key, F.col("orphans"), F.col("cities")))
+    lenient = F.col("check").isin("cut_agreement", "referential")
+    # No municipality at all fails too.
+    missing = (F.col("check") == "referential") & (F.col("total") == 0)
+    return _graded(
+        _unfolded(wide, rows), F.when(missing, -1).when(lenient, TOLERATED_PCT).otherwise(0)
+    )
+
+
+def check_targets(
+    targets: DataFrame,
+    key: Sequence[str] = ("ano", "id_municipio", "rede_descricao"),
+    prefixes: tuple[str, ...] = PERCENT_PREFIXES,
+) -> DataFrame:
+    """Percentages of the targets and repeated target keys, from a single pass.
+
+    The last row is advice only: repeated target keys multiply results in the
+    later join without making it wrong.
+    """
+    table = "meta_municipio"
+    names = [name for name in targets.columns if name.startswith(prefixes)]
+    by_key = targets.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("qtd"),
+        *[F.count_if(_outside_percent(name)).alias(f"bad_{i}") for i, name in enumerate(names)],
     )
-    lenient = F.col("check") == "cut_agreement"
-    return _graded(counts, F.when(lenient, TOLERATED_PCT).otherwise(0))
+    wide = by_key.agg(
+        F.sum("qtd").alias("total"),
+        *[F.sum(f"bad_{i}").alias(f"bad_{i}") for i in range(len(names))],
+        F.count_if(F.col("qtd") > 1).alias("repeated"),
+        F.count(F.lit(1)).alias("keys"),
+    )
+    rows = [
+        ("range_0_100", table, name, F.col(f"bad_{i}"), F.col("total"))
+        for i, name in enumerate(names)
+    ]
+    rows.append(("target_key", table, ",".join(key), F.col("repeated"), F.col("keys")))
+    return _graded(_unfolded(wide, rows), F.when(F.col("check") == "target_key", 100).otherwise(0))
 
 
 def quality_report(
@@ -180,22 +249,14 @@ def quality_report(
 ) -> DataFrame:
     """All gates on unit records, municipal results and municipal targets.
 
-    The last row is advice only: repeated target keys multiply results in the
-    later join without making it wrong.
+    Unit records are read twice, once for their ids and once for everything
+    else, targets once, and results once beside their part as the reference.
     """
     parts = [
         check_duplicates(micro, "aluno", ENTITIES["aluno"].key),
         check_range(results, "municipio"),
-        check_range(targets, "meta_municipio"),
-        check_microdata(micro, cut),
-        check_referential(micro, results, "aluno"),
-        check_duplicates(
-            targets,
-            "meta_municipio",
-            ("ano", "id_municipio", "rede_descricao"),
-            check="target_key",
-            tolerated_pct=None,
-        ),
+        check_microdata(micro, results, cut),
+        check_targets(targets),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -42,12 +43,7 @@ def best_and_worst(
 
 
 def keep_extremes(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    ties: Sequence[str],
-    k: int,
-    salts: int = 256,
+    df: DataFrame, keys: Sequence[str], value: str, ties: Sequence[str], k: int
 ) -> DataFrame:
     """Per key, the rows that can be among the ``k`` farthest from any number.
 
@@ -55,26 +51,28 @@ def keep_extremes(
     means first by tie-break. Everything else can be left out before a join
     that ranks by distance.
 
-    Each input partition first belongs to one of ``salts`` groups in which a
-    key is cut down on its own, so no task sorts all rows of a large key, not
-    even when they are copies of one row. The second cut meets at most
-    ``3 * k * salts`` rows per key.
+    Each of the three is a numbering with a single bound, which Spark applies
+    below the shuffle too: every task drops what is beyond its own ``k`` rows of
+    a key, so a large key is never sorted in one place. That holds up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); a larger ``k`` gives the
+    same rows at a higher price. Copies of a row travel as a count. A copy beyond the
+    largest of its three counts has ``k`` rows before it in every order.
     """
-
-    def prune(frame: DataFrame, parts: list[str]) -> DataFrame:
-        w = W.partitionBy(*parts)
-        rank = F.row_number()
-        return (
-            frame.withColumns(
-                {
-                    "_low": rank.over(w.orderBy(*ascending(value, *ties))),
-                    "_high": rank.over(w.orderBy(*descending(value), *ascending(*ties))),
-                    "_tie": rank.over(w.orderBy(*ascending(*ties))),
-                }
-            )
-            .where(F.least("_low", "_high", "_tie") <= k)
-            .drop("_low", "_high", "_tie")
-        )
-
-    salted = df.withColumn("_salt", F.spark_partition_id() % salts)
-    return prune(prune(salted, [*keys, "_salt"]), [*keys]).drop("_salt")
+    order = W.partitionBy(*keys)
+    ends = (
+        [*ascending(value, *ties)],
+        [*descending(value), *ascending(*ties)],
+        [*ascending(*ties)],
+    )
+    branches = [
+        df.withColumn("_nth", F.row_number().over(order.orderBy(*end)))
+        .where(F.col("_nth") <= k)
+        .groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        for end in ends
+    ]
+    kept = reduce(DataFrame.unionAll, branches).groupBy(*df.columns).agg(
+        F.max("_copies").alias("_copies")
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
+    return kept.select(*df.columns, copies).drop("_copy")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from regua.operators.conform import conform_aggregate, conform_microdata
@@ -22,10 +24,20 @@ def build_silver(
     spark: SparkSession, bronze: str, silver: str, *, gather: bool = True, **reading
 ) -> None:
     """Write all entities. ``gather=False`` saves the shuffle before each write
-    where raw files already hold few partitions each."""
+    where raw files already hold few partitions each.
+
+    Each reading option (``loads``, ``decimal_mark``, ``infer``) is either one value for
+    all entities or a mapping from entity to value; entities it leaves out get
+    the default.
+    """
     for name, entity in ENTITIES.items():
+        own = {
+            option: value[name] if isinstance(value, Mapping) else value
+            for option, value in reading.items()
+            if not isinstance(value, Mapping) or name in value
+        }
         write_partitioned(
-            conformed(spark, bronze, name, **reading),
+            conformed(spark, bronze, name, **own),
             f"{silver.rstrip('/')}/{name}",
             entity.partitions,
             order=entity.order,

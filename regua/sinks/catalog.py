@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 from regua.schemas import GOLD_PARTITIONS, GOLD_TABLES
 
 
+def _quoted(text: str) -> str:
+    """A SQL literal of any text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_database(spark: SparkSession, database: str, location: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {_quoted(location)}")
 
 
 def create_external_table(
@@ -24,7 +29,7 @@ def create_external_table(
     fields = ", ".join(f"`{column}` {kind}" for column, kind in listed.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet "
-        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{location}'"
+        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION {_quoted(location)}"
     )
 
 

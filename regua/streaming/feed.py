@@ -8,8 +8,10 @@ loses nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timezone
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from regua.schemas import EVENT_FIELDS
@@ -35,8 +37,31 @@ def read_envelopes(
     return reader.json(source)
 
 
+def utc_text(micros: Column) -> Column:
+    """Microseconds since 1970 as ``yyyy-mm-ddThh:mm:ss.ffffff+00:00``.
+
+    No step knows a time zone, so hours that a zone skips or repeats are as
+    any other.
+    """
+    clock = utc_clock(micros).cast("string")
+    fraction = F.rpad(F.substring_index(F.concat(clock, F.lit(".")), ".", 2), 26, "0")
+    whole = F.substring_index(clock, ".", 1)
+    digits = F.when(clock.contains("."), F.substring(fraction, 21, 6)).otherwise(F.lit("000000"))
+    return F.concat(F.replace(whole, F.lit(" "), F.lit("T")), F.lit("."), digits, F.lit("+00:00"))
+
+
+def utc_clock(micros: Column) -> Column:
+    """Microseconds since 1970 as a timestamp without a zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros, epoch)
+
+
 def decode_events(
-    envelopes: DataFrame, fields: Mapping[str, str] = EVENT_FIELDS, data: str = "kinesis.data"
+    envelopes: DataFrame,
+    fields: Mapping[str, str] = EVENT_FIELDS,
+    data: str = "kinesis.data",
+    strict: bool = False,
+    micros: Column | None = None,
 ) -> DataFrame:
     """Decode, parse and stamp.
 
@@ -45,35 +70,56 @@ def decode_events(
     survive, and a field of an unexpected type becomes NULL without spoiling the
     event. An invalid event keeps its original encoded form.
 
+    Numbers like ``NaN`` and repeated keys (of which the last counts) are
+    accepted, unless ``strict``.
+
     The parser stops at the end of the first value. Parsing the text as the
     first of two elements makes anything that follows it visible: either the
     array breaks, or its second element is not the marker.
+
+    ``micros`` is the instant of the stamp, by default the start of the batch.
     """
     encoded = F.col(data)
     text = F.try_to_binary(encoded, F.lit("base64")).cast("string")
-    now_utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    if micros is None:
+        micros = F.unix_micros(F.current_timestamp())
+    array = F.concat(F.lit("["), "payload", F.lit(f', "{_MARKER}"]'))
     parsed = envelopes.select(
         encoded.alias("_encoded"), F.when(F.is_valid_utf8(text), text).alias("payload")
-    ).withColumn(
-        "_json", F.try_parse_json(F.concat(F.lit("["), "payload", F.lit(f', "{_MARKER}"]')))
-    )
-    is_object = F.coalesce(
-        F.col("payload").rlike(r"^\s*\{")
-        & (F.try_variant_get("_json", "$[1]", "string") == _MARKER),
-        F.lit(False),
-    )
+    ).withColumn("_json", F.try_parse_json(array))
+    whole = F.try_variant_get("_json", "$[1]", "string") == _MARKER
+    if strict:
+        loose = {name: F.lit(None).cast(kind) for name, kind in fields.items()}
+    else:
+        elements = F.from_json(array, T.ArrayType(T.StringType()))
+        whole = F.coalesce(whole, (F.size(elements) == 2) & (F.get(elements, 1) == _MARKER))
+        texts = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+        parsed = parsed.withColumn(
+            "_texts", F.when(F.col("_json").isNull(), F.from_json("payload", texts))
+        )
+        # Numbers without digits come back in quotes.
+        loose = {
+            name: (
+                F.col("_texts")[name]
+                if kind == "string"
+                else F.btrim(F.col("_texts")[name], F.lit('"')).try_cast(kind)
+            )
+            for name, kind in fields.items()
+        }
+    is_object = F.coalesce(F.col("payload").rlike(r"^\s*\{") & whole, F.lit(False))
     valid = F.col("_valid")
-    iso = F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return parsed.withColumn("_valid", is_object).select(
         *[
-            F.when(valid, F.try_variant_get("_json", f"$[0].{name}", kind)).alias(name)
+            F.when(
+                valid, F.coalesce(F.try_variant_get("_json", f"$[0].{name}", kind), loose[name])
+            ).alias(name)
             for name, kind in fields.items()
         ],
         F.when(valid, F.col("payload")).alias("payload"),
         F.when(~valid, F.col("_encoded")).alias("rejected"),
-        F.concat(iso, F.lit("+00:00")).alias("_ingestion_ts"),
+        utc_text(micros).alias("_ingestion_ts"),
         F.when(valid, VALID).otherwise(INVALID).alias(STATE_COLUMN),
-        F.to_date(now_utc).alias(DAY_COLUMN),
+        utc_clock(micros).cast("date").alias(DAY_COLUMN),
     )
 
 
@@ -99,9 +145,44 @@ def start_ingest(
     )
 
 
-def records_written(query: StreamingQuery) -> int:
-    """Records in the micro-batches the query still remembers."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+class Written(NamedTuple):
+    """Events stored by a run."""
+
+    valid: int
+    invalid: int
+
+    @property
+    def total(self) -> int:
+        return self.valid + self.invalid
+
+
+def records_written(spark: SparkSession, target: str, since: datetime) -> Written:
+    """Events below ``target`` with a stamp from ``since`` on, counted where they are stored.
+
+    Only the day folders from that day on are read. With ``since`` taken before a
+    run starts, these are the events of the run, however many batches it had.
+    """
+    since = since.astimezone(timezone.utc)
+    columns = f"_ingestion_ts string, {STATE_COLUMN} string, {DAY_COLUMN} date"
+    recent = spark.read.schema(columns).json(target).where(
+        (F.col(DAY_COLUMN) >= F.lit(since.date()))
+        & (F.col("_ingestion_ts") >= since.isoformat(timespec="microseconds"))
+    )
+    found = {row[STATE_COLUMN]: row["count"] for row in recent.groupBy(STATE_COLUMN).count().collect()}
+    return Written(found.get(VALID, 0), found.get(INVALID, 0))
+
+
+def ingest(
+    envelopes: DataFrame,
+    target: str,
+    checkpoint: str,
+    fields: Mapping[str, str] = EVENT_FIELDS,
+    **trigger,
+) -> Written:
+    """Run until all available events are stored, and say how many were."""
+    since = datetime.now(timezone.utc)
+    start_ingest(envelopes, target, checkpoint, fields, **trigger).awaitTermination()
+    return records_written(envelopes.sparkSession, target, since)
 
 
 def read_events(

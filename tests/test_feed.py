@@ -1,6 +1,11 @@
 import base64
 import json
+import math
 import re
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
 
 from regua.streaming import feed
 
@@ -33,13 +38,11 @@ def put(folder, name, payloads):
 
 
 def ingest(spark, tmp_path, **reading):
-    query = feed.start_ingest(
+    return feed.ingest(
         feed.read_envelopes(spark, str(tmp_path / "in"), **reading),
         str(tmp_path / "out"),
         str(tmp_path / "checkpoint"),
-    )
-    query.awaitTermination()
-    return feed.records_written(query)
+    ).total
 
 
 def stored(spark, tmp_path, state=feed.VALID):
@@ -118,7 +121,60 @@ def test_stamp_is_utc_in_any_session_zone(spark, tmp_path):
         stamp = stored(spark, tmp_path)[0]._ingestion_ts
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    from datetime import datetime, timezone
-
     age = datetime.now(timezone.utc) - datetime.fromisoformat(stamp)
     assert 0 <= age.total_seconds() < 300
+
+
+def test_counts_do_not_depend_on_remembered_progress(spark, tmp_path):
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(name, "2")
+    try:
+        for k in range(5):
+            put(tmp_path / "in", f"{k}.jsonl", [EVENT, "cut"] if k == 3 else [EVENT])
+        envelopes = feed.read_envelopes(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+        written = feed.ingest(envelopes, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    finally:
+        spark.conf.unset(name)
+    assert written == (5, 1)
+
+
+@pytest.mark.parametrize(
+    "instant",
+    ["2026-03-08T02:30:00.000000", "2026-11-01T05:30:00.100000", "2026-11-01T06:30:00.123456",
+     "1969-12-31T23:59:59.999999", "2024-02-29T00:00:00.000001"],
+)
+def test_stamp_is_the_instant_in_every_hour(spark, instant):
+    """New York skips 02:30 on the first day and has two 01:30 on the second."""
+    moment = datetime.fromisoformat(instant + "+00:00")
+    micros = (moment - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        envelopes = spark.createDataFrame([((None,),)], feed.ENVELOPE)
+        row = feed.decode_events(envelopes, micros=F.lit(micros)).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row["_ingestion_ts"] == instant + "+00:00"
+    assert str(row["dt_ingestao"]) == instant[:10]
+
+
+def test_numbers_and_keys_that_strict_json_refuses(spark, tmp_path):
+    odd = [
+        '{"rede": "x", "taxa_alfabetizacao": NaN, "ano": 2024}',
+        '{"ano": 1, "rede": "a", "ano": 2}',
+    ]
+    bad = [odd[0] + " x", odd[1] + ",", '{"a": NaN}, {"b": 1}', '[{"a": NaN}]']
+    put(tmp_path / "in", "a.jsonl", [*odd, *bad])
+    ingest(spark, tmp_path)
+    first, second = sorted(stored(spark, tmp_path), key=lambda r: -len(r.payload))
+    assert math.isnan(first.taxa_alfabetizacao) and (first.ano, first.rede) == (2024, "x")
+    assert (second.ano, second.rede) == (2, "a")
+    assert len(stored(spark, tmp_path, feed.INVALID)) == len(bad)
+
+
+def test_strict_reading_is_an_option(spark):
+    texts = ['{"a": NaN}', '{"ano": 1, "ano": 2}', '{"ano": 3}']
+    rows = [((base64.b64encode(t.encode()).decode(),),) for t in texts]
+    found = feed.decode_events(spark.createDataFrame(rows, feed.ENVELOPE), strict=True).collect()
+    assert [r.ano for r in found] == [None, None, 3]
+    assert [r[feed.STATE_COLUMN] for r in found] == [feed.INVALID, feed.INVALID, feed.VALID]

@@ -1,9 +1,13 @@
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from regua.functions import bands
 from regua.functions.labels import NETWORK_LABELS, label_for
-from regua.functions.numeric import rate, safe_round, text_to_double, text_to_int
+from regua.functions.numeric import percentage, rate, safe_round, text_to_double, text_to_int
 
 
 def values(spark, rows, schema, expression):
@@ -17,9 +21,37 @@ def test_safe_round_works_on_the_decimal_value(spark):
     ]
 
 
-@pytest.mark.parametrize("huge", [1e30, float("nan"), float("inf")])
-def test_safe_round_never_fails(spark, huge):
-    assert values(spark, [(huge,)], "x double", safe_round(F.col("x"), 2)) == [None]
+@pytest.mark.parametrize("huge", [1e30, -1e27, float("inf"), None])
+def test_safe_round_keeps_what_no_decimal_holds(spark, huge):
+    assert values(spark, [(huge,)], "x double", safe_round(F.col("x"), 2)) == [huge]
+
+
+def test_safe_round_keeps_nan(spark):
+    found = values(spark, [(float("nan"),)], "x double", safe_round(F.col("x"), 2))
+    assert math.isnan(found[0])
+
+
+def test_safe_round_rounds_once(spark):
+    given = [(12.3449999999,), (12.345,), (99.9949999975,)]
+    assert values(spark, given, "x double", safe_round(F.col("x"), 2)) == [12.34, 12.35, 99.99]
+
+
+def test_percentage_is_exact(spark):
+    """Against whole-number arithmetic, beyond a million rows too."""
+    rng = random.Random(7)
+    rows = [(1_999_899, 1_999_999), (0, 1), (1, 1), (1, 800), (3, 0), (0, 0)]
+    rows += [(rng.randrange(n + 1), n) for n in (rng.randrange(1, 5000) for _ in range(1500))]
+    rows += [(rng.randrange(n + 1), n) for n in (rng.randrange(10**6, 10**10) for _ in range(1500))]
+    for digits in (2, 4):
+        expected = [
+            None if not n else float(
+                (Decimal(k) * 100 / Decimal(n)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+            )
+            for k, n in rows
+        ]
+        column = percentage(F.col("k"), F.col("n"), digits)
+        assert values(spark, rows, "k bigint, n bigint", column) == expected
+    assert values(spark, rows[:1], "k bigint, n bigint", percentage(F.col("k"), F.col("n"))) == [99.99]
 
 
 def test_text_to_int(spark):
@@ -76,3 +108,7 @@ def test_situation_bands(spark):
         "Acima ou dentro da meta", "Pouco abaixo da meta", "Atenção", "Atenção", "Crítico",
         "Crítico",
     ]
+
+
+def test_rate_of_no_flags_is_missing(spark):
+    assert spark.createDataFrame([(None,)], "flag int").agg(rate(F.col("flag"))).first()[0] is None

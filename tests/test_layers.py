@@ -7,14 +7,15 @@ from regua.operators.quality import QualityError
 from regua.plans import medallion, reports
 from regua.schemas import ENTITIES, GOLD_TABLES, MICRODATA_NAMES
 from regua.sinks.files import write_partitioned
+from regua.sources.delimited import read_entity
 from regua.sources.tables import read_layer, read_table, scan_catalog
 
 TARGETS = ",".join(f"meta_alfabetizacao_{year}" for year in range(2024, 2031))
 
 
-def land(root, name, lines):
+def land(root, name, lines, load="manual"):
     entity = ENTITIES[name]
-    folder = root / name / "dt_carga=manual"
+    folder = root / name / f"dt_carga={load}"
     folder.mkdir(parents=True)
     text = "\n".join(lines) + "\n"
     (folder / f"{name}.csv").write_text(text, encoding=entity.encoding)
@@ -147,3 +148,93 @@ def test_rows_are_sorted_within_files(spark, tmp_path):
     for file in files:
         ids = [r.id_municipio for r in spark.read.parquet(file).collect()]
         assert ids == sorted(ids)
+
+
+def test_states_from_files_to_questions(spark, bronze, tmp_path):
+    """Every band, a missing target, a missing result, a network without targets, worked out by hand."""
+    later = "64,67,71,74,77,80"
+    land(bronze, "uf", [
+        "ano,sigla_uf,serie,rede,taxa_alfabetizacao,media_portugues",
+        "2024,AA,2,5,60.0,750", "2024,BB,2,5,57.5,745", "2024,CC,2,5,52.0,744",
+        "2024,DD,2,5,45.5,730", "2024,EE,2,5,30.0,700", "2024,FF,2,5,,", "2024,GG,2,5,70.0,760",
+        "2024,HH,2,3,40.0,720", "2023,AA,2,5,55.0,740"], "2025-01")
+    land(bronze, "meta_uf", [
+        f"ano,sigla_uf,rede,taxa_alfabetizacao,{TARGETS},percentual_participacao",
+        *[f"2024,{uf},Pública,50,60,{later},90" for uf in ("AA", "BB", "CC", "DD", "EE", "FF")],
+        f"2024,GG,Pública,50,,{later},90", f"2023,AA,Pública,50,60,{later},90"], "2025-01")
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    loads = {"uf": ["2025-01"], "meta_uf": ["2025-01"], "aluno": ["manual"]}
+    medallion.run(spark, str(bronze), silver, gold, loads=loads)
+    state = read_layer(spark, gold, "indicador_uf")
+
+    ranking = reports.state_ranking(state).collect()
+    assert [(r.sigla_uf, r.taxa_alfabetizacao_resultado, r.meta_ano, r.gap_meta, r.status_meta)
+            for r in ranking] == [
+        ("GG", 70.0, None, None, "SEM_META"),
+        ("AA", 60.0, 60.0, 0.0, "ATINGIU_META"),
+        ("BB", 57.5, 60.0, -2.5, "ABAIXO_META"),
+        ("CC", 52.0, 60.0, -8.0, "ABAIXO_META"),
+        ("DD", 45.5, 60.0, -14.5, "ABAIXO_META"),
+        ("HH", 40.0, None, None, "SEM_META"),
+        ("EE", 30.0, 60.0, -30.0, "ABAIXO_META"),
+        ("FF", None, 60.0, None, "ABAIXO_META"),
+    ]
+    assert [tuple(r) for r in reports.status_distribution(state).collect()] == [
+        (2023, "Pública", "SEM_META", 1, 55.0, None),
+        (2024, "Municipal", "SEM_META", 1, 40.0, None),
+        (2024, "Pública", "ABAIXO_META", 5, 46.25, -13.75),
+        (2024, "Pública", "ATINGIU_META", 1, 60.0, 0.0),
+        (2024, "Pública", "SEM_META", 1, 70.0, None),
+    ]
+    assert [tuple(r) for r in reports.gap_bands(state).collect()] == [
+        (2024, "Municipal", "Mais de 20 p.p. abaixo", 1, 40.0, None),
+        (2024, "Pública", "Mais de 20 p.p. abaixo", 3, 50.0, -30.0),
+        (2024, "Pública", "Entre 10 e 20 p.p. abaixo", 1, 45.5, -14.5),
+        (2024, "Pública", "Entre 5 e 10 p.p. abaixo", 1, 52.0, -8.0),
+        (2024, "Pública", "Até 5 p.p. abaixo", 1, 57.5, -2.5),
+        (2024, "Pública", "Atingiu ou superou", 1, 60.0, 0.0),
+    ]
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_loads_are_read_by_their_own_headers(spark, tmp_path, infer):
+    city = ENTITIES["municipio"]
+    land(tmp_path, "municipio", ["ano,id_municipio,serie,rede,taxa_alfabetizacao", "2024,1,2,3,50.5"], "2024-01")
+    land(tmp_path, "municipio", ["id_municipio,ano,serie,rede,taxa_alfabetizacao,media_portugues",
+                                 "2,2025,2,3,60.5,745.5"], "2025-01")
+
+    def read(loads=None):
+        df = read_entity(spark, str(tmp_path), city, loads=loads, infer=infer)
+        return df, {r.id_municipio: r.asDict() for r in df.collect()}
+
+    old, rows = read(["2024-01"])
+    assert rows[1]["taxa_alfabetizacao"] == 50.5 and set(rows) == {1}
+    assert "media_portugues" not in old.columns
+    assert all("2024-01" in f for f in old.inputFiles())
+    new, rows = read(["2025-01"])
+    assert (rows[2]["ano"], rows[2]["media_portugues"], rows[2]["dt_carga"]) == (2025, 745.5, "2025-01")
+    assert all("2025-01" in f for f in new.inputFiles())
+    _, rows = read()
+    assert rows[1]["media_portugues"] is None and rows[2]["media_portugues"] == 745.5
+    assert (rows[1]["ano"], rows[2]["ano"]) == (2024, 2025)
+    with pytest.raises(FileNotFoundError, match="2026"):
+        read(["2026"])
+
+
+def test_a_header_that_differs_within_a_load_is_refused(spark, tmp_path):
+    land(tmp_path, "municipio", ["ano,id_municipio", "2024,1"], "x")
+    (tmp_path / "municipio/dt_carga=x/other.csv").write_text("id_municipio,ano\n1,2024\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        read_entity(spark, str(tmp_path), ENTITIES["municipio"]).collect()
+
+
+def test_locations_may_hold_quotes(spark, tmp_path):
+    from regua.sinks import catalog
+
+    where = tmp_path / "it's"
+    write_partitioned(spark.createDataFrame([(2024, "v")], "ano int, v string"), str(where / "t"))
+    catalog.create_database(spark, "regua_quote", str(where))
+    catalog.create_external_table(spark, "regua_quote.t", {"v": "string"}, str(where / "t"))
+    catalog.repair_partitions(spark, "regua_quote.t")
+    assert spark.table("regua_quote.t").count() == 1
+    spark.sql("DROP DATABASE regua_quote CASCADE")

@@ -35,3 +35,22 @@ def test_same_answer(spark, duck, name):
     theirs = duck.execute(ORACLE[name]).df()
     assert len(ours) > 0
     assert difference(ours, theirs) is None
+
+
+def in_order(frame):
+    return [tuple(None if v != v else v for v in row) for row in frame[sorted(frame.columns)].itertuples(index=False)]
+
+
+@pytest.mark.parametrize("name", [
+    "q01_below_target_latest", "q02_entity_history", "q04_lowest_micro_rate", "q05_largest_gaps",
+    "q06_mean_by_network", "q07_situation_band", "q08_national_summary", "topk_lowest"])
+def test_same_order(spark, duck, name):
+    assert in_order(QUERIES[name](spark, SF).toPandas()) == in_order(duck.execute(ORACLE[name]).df())
+
+
+def test_sort_cannot_be_left_out(spark, duck, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "orderBy", lambda self, *columns: self)
+    unsorted = QUERIES["sort_nulls_last"](spark, SF).toPandas()
+    assert difference(unsorted, duck.execute(ORACLE["sort_nulls_last"]).df()) is not None

@@ -4,10 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as registered
+from regua.analogues.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = registered.queries()
 
 
 def planned(df):
@@ -50,7 +49,7 @@ def test_limits_are_bounded_sorts(spark, name, sorts):
 
 
 def test_scan_reads_only_what_is_asked(spark):
-    text = explained(QUERIES["parquet_scan"](spark, SF))
+    text = explained(QUERIES["parquet_scan_pushed_filter"](spark, SF))
     assert "EqualTo(o_orderstatus,F)" in text
     read = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
     assert {part.split(":")[0] for part in read.split(",")} == {
@@ -73,12 +72,18 @@ def test_unique_ids_need_only_one_small_shuffle(spark):
     assert plan.count("Exchange") == 1 and "partial_count(id_aluno" in plan
 
 
-def test_row_checks_share_one_scan(spark):
+def test_gates_read_each_table_as_often_as_they_must(spark):
+    """Unit records for ids and for all else, targets once, results once and as the reference."""
     from regua.analogues import workspace
-    from regua.operators.quality import check_microdata
-
-    report = check_microdata(workspace.silver_micro(spark, SF))
-    assert explained(report).count("Scan parquet") == 2  # once in the tree, once in the details
+    from regua.operators.quality import quality_report
+
+    pupils = workspace.silver_micro(spark, SF)
+    results, targets = workspace.silver_pair(spark, SF, "id_municipio")
+    tree = quality_report(pupils, results, targets)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in tree.splitlines() if "Relation [" in line]
+    assert len(scans) == 2 + 2 + 1
+    assert sum("id_aluno" in line for line in scans) == 2
+    assert sum("percentual_participacao" in line for line in scans) == 1
 
 
 @pytest.fixture

@@ -159,12 +159,27 @@ def test_extremes_bound_every_key(spark):
     df = spark.range(30000).selectExpr(
         "cast(id % 3 as int) as chave", "cast(id as double) as valor", "id as desempate"
     )
-    kept = keep_extremes(df, ["chave"], "valor", ["desempate"], 4, salts=3)
+    kept = keep_extremes(df, ["chave"], "valor", ["desempate"], 4)
     counts = {r.chave: r["count"] for r in kept.groupBy("chave").count().collect()}
     assert counts == {0: 8, 1: 8, 2: 8}
     assert kept.agg({"valor": "max"}).first()[0] == 29999.0
 
 
+def test_extremes_are_cut_below_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as chave", "cast(id as double) as valor", "id as d")
+    plan = keep_extremes(df, ["chave"], "valor", ["d"], 4)._jdf.queryExecution().toString()
+    tree = plan[plan.index("== Physical Plan"):]
+    # Each of the three branches has one below its shuffle and one above.
+    assert tree.count("WindowGroupLimit") >= 6
+    assert "Partial" in tree and "Final" in tree
+
+
+def test_copies_are_kept_as_often_as_they_count(spark):
+    df = spark.createDataFrame([(1, 5.0, 1)] * 7 + [(1, 6.0, 2)], "chave int, valor double, d int")
+    kept = keep_extremes(df, ["chave"], "valor", ["d"], 3).collect()
+    assert sorted(tuple(r) for r in kept) == [(1, 5.0, 1)] * 3 + [(1, 6.0, 2)]
+
+
 def numbered(rows, k):
     """What numbering the whole table from both ends would give."""
     ties = lambda row: (row[1], row[2])
