@@ -32,7 +32,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from regua.llm.common import append, texts_of
+from regua.llm.common import append, ship, texts_of
 from regua.llm.pretokens import Split, compiled
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -307,17 +307,16 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def decoded(tokens: DataFrame, ids: str = "ids", name: str = "text", path: str | None = None) -> DataFrame:
     """``tokens`` with the text of its ids; bytes that are not UTF-8 become replacement characters, null ids null."""
+    ship(tokens.sparkSession)
     data = _shared_ranks(tokens, path)
-    marked = tokens.withColumn("ids_as_bytes", F.lit(""))
+    at, names = tokens.columns.index(ids), [*tokens.columns, name]
 
     def run(batches):
         own = codec(data.value)
         for batch in batches:
-            lists = batch.column(marked.columns.index(ids)).to_pylist()
+            lists = batch.column(at).to_pylist()
             bodies = own.decode([np.array(x or [], "<u4").tobytes() for x in lists])
             texts = [None if x is None else b.decode("utf-8", "replace") for x, b in zip(lists, bodies)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(texts, pa.string())], names=[*tokens.columns, name]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
-    return marked.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField(name, T.StringType())]))
+    return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField(name, T.StringType())]))

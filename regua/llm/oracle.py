@@ -17,20 +17,20 @@ ORACLE: dict[str, str] = {
                   FROM benchmark)
             WHERE len(ws) > 0
         ), starts AS (
-            SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS at FROM b
+            SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS spot FROM b
         ), grams AS (
-            SELECT DISTINCT item_id, n, array_to_string(ws[at:at + n - 1], ' ') AS gram FROM starts
+            SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, spot, spot + n - 1), ' ') AS gram FROM starts
         ), places AS (
-            SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS at
+            SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS spot
             FROM d, (SELECT DISTINCT n FROM grams)
             WHERE len(ws) >= n
         ), hits AS (
-            SELECT r, at, p.n, item_id
-            FROM (SELECT r, at, n, array_to_string(ws[at:at + n - 1], ' ') AS gram FROM places) p
+            SELECT r, spot, p.n, item_id
+            FROM (SELECT r, spot, n, array_to_string(list_slice(ws, spot, spot + n - 1), ' ') AS gram FROM places) p
             JOIN grams g ON g.gram = p.gram
         ), marked AS (
             SELECT r, count(DISTINCT word) AS n_hit
-            FROM (SELECT r, unnest(range(at, at + n)) AS word FROM hits) GROUP BY r
+            FROM (SELECT r, unnest(range(spot, spot + n)) AS word FROM hits) GROUP BY r
         ), items AS (
             SELECT r, count(DISTINCT item_id) AS n_items,
                    string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
@@ -49,4 +49,31 @@ ORACLE: dict[str, str] = {
         FROM (SELECT doc_id, {LOWERED} AS body FROM documents)
         WINDOW same AS (PARTITION BY body)
     """,
+    "op7_superkmer_dedup": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+            FROM documents
+        ), windows AS (
+            SELECT r, doc_id, spot, array_to_string(list_slice(ws, spot, spot + 49), ' ') AS passage
+            FROM (SELECT *, unnest(range(1, len(ws) - 48)) AS spot FROM d WHERE len(ws) >= 50)
+        ), again AS (
+            SELECT r, spot
+            FROM (SELECT r, spot, min(doc_id) OVER (PARTITION BY passage)
+                         < coalesce(doc_id, 9223372036854775807) AS earlier FROM windows)
+            WHERE earlier
+        ), gone AS (
+            SELECT DISTINCT r, unnest(range(spot, spot + 50)) AS i FROM again
+        ), kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY i) AS body
+            FROM (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d)
+            ANTI JOIN gone USING (r, i)
+            GROUP BY r
+        ), counted AS (
+            SELECT r, count(*) AS n FROM gone GROUP BY r
+        )
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+               sha256(coalesce(body, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r) LEFT JOIN counted USING (r)
+    """,
 }

@@ -52,13 +52,13 @@ def suffix_order(data: bytes, depth: int | None = None) -> tuple[np.ndarray, np.
     depth = n if depth is None else min(depth, n)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    raw = np.zeros(n + 6, np.uint64)
+    held = min(7, depth)
+    raw = np.zeros(n + held, np.uint64)
     raw[:n] = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
     keys = np.zeros(n, np.uint64)
-    for k in range(7):
+    for k in range(held):
         keys = keys << np.uint64(9) | raw[k : k + n]
     order, rank = _ranks(keys)
-    held = 7
     while held < depth and rank[order[-1]] < n:
         step = min(held, depth - held)
         behind = np.zeros(n, np.int64)
