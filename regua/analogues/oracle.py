@@ -257,6 +257,7 @@ labelled AS (
 
 _TARGET_KEYS = "ano, id_municipio, rede_descricao, taxa_alfabetizacao_resultado"
 
+# Labels and limits of the bands, here and in q07, and of the ranking in q12.
 BANDED = f"""
 banded AS (
   SELECT *, CASE WHEN gap_meta >= 0 THEN 'Atingiu ou superou'

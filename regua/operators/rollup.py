@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from regua.functions.numeric import rate, safe_round
 from regua.schemas import CUT_SCORE
 
+# The key of the stored rollup, as the four names it gives to its measures below.
 ROLLUP_KEYS = ("ano", "sigla_uf", "id_municipio", "nome_municipio", "rede_descricao")
 
 

@@ -33,6 +33,7 @@ MICRODATA_NAMES = {
     "IN_ALFABETIZADO": "in_alfabetizado",
 }
 
+# Types of unit-record columns and of keys.
 MICRODATA_TYPES = {
     "ano": "int",
     "id_uf": "int",
@@ -155,7 +156,7 @@ def _gold_indicator(entity: tuple[str, str] | None) -> dict[str, str]:
     }
 
 
-# Columns of the analytical tables; every one is partitioned by ``ano int``.
+# Columns of the analytical tables; every one is partitioned by ``ano int``.
 GOLD_TABLES = {
     "indicador_municipio": _gold_indicator(("id_municipio", "int")),
     "indicador_uf": _gold_indicator(("sigla_uf", "string")),
@@ -172,7 +173,7 @@ GOLD_TABLES = {
     },
 }
 
-# Fields of a feed event, in the order they are stored.
+# Fields of a feed event, in the order they are stored.
 EVENT_FIELDS = {
     "event_type": "string",
     "event_ts": "string",

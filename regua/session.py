@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,12 +33,14 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which all executors share.
+    """The folder named by ``spark.regua.scratch.dir`` or else by ``spark.checkpoint.dir``, which all executors share.
 
-    A machine-local folder is only acceptable when the whole application runs
+    A machine-local folder, removed when the application ends, is only acceptable when the whole application runs
     on one machine, so it is made for ``local`` masters alone.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.regua.scratch.dir", None) or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if shared:
         return shared.rstrip("/")
     context = spark.sparkContext
@@ -45,6 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="regua-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 

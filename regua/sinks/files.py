@@ -23,7 +23,8 @@ def write_partitioned(
     rows of. The rebalance hint shuffles by the partition columns, merges small
     shuffle blocks and, unlike a plain repartition, cuts a partition holding a
     large part of all rows into pieces of the advisory size. Turn it off when
-    the input already arrives in the order of its partitions.
+    the input already arrives in the order of its partitions. The hint needs adaptive
+    execution; without it a large partition lands in one task.
 
     ``order`` sorts rows within each file, so that a filter on these columns
     skips row groups. The writer sorts by the partition columns in any case.
