@@ -32,7 +32,7 @@ from regua.llm.slices import pack, pack_array, unpack, unpack_array
 
 #: Low bits of a minimiser code that hold its position; a stretch of units worked on at once.
 PLACE_BITS = 24
-STRETCH = 1 << 23
+STRETCH = 1 << 20
 #: Windows in one run at most, bytes of runs in one bucket, bytes of runs of one minimiser before it is split.
 LONGEST_RUN, BUCKET_BYTES, SPLIT_BYTES = 1024, 2 << 20, 1 << 20
 #: Bytes of text for each bucket of minimisers, bytes of runs for each bucket of digests.
@@ -56,8 +56,8 @@ class Units:
     begin: np.ndarray | None = None
     end: np.ndarray | None = None
 
-    def hashes(self) -> np.ndarray:
-        """A hash of each gram; one for each unit, whatever the value where a gram would not fit."""
+    def hashes(self, start: int, stop: int) -> np.ndarray:
+        """A hash of the gram at each unit of a stretch, whatever the value where a gram would not fit."""
         raise NotImplementedError
 
     def body(self, first: int, windows: int) -> bytes:
@@ -94,25 +94,26 @@ class Runs:
 
     def __init__(self, units: Units):
         width = units.window - units.gram + 1
-        hashes = units.hashes()
-        total = len(hashes)
+        total = int(units.cuts[-1])
         low = np.uint64((1 << PLACE_BITS) - 1)
         parts = []
-        # Windows that fit into their document.
-        sizes = np.diff(units.cuts)
-        room = np.repeat(units.cuts[1:], sizes) - np.arange(total) >= units.window
+        doc_of = np.repeat(np.arange(len(units.cuts) - 1, dtype=np.int32), np.diff(units.cuts))
         for start in range(0, total, STRETCH):
             stop = min(total, start + STRETCH + units.window)
-            own = (hashes[start:stop] & ~low) | np.arange(stop - start, dtype=np.uint64)
+            own = (units.hashes(start, stop) & ~low) | np.arange(stop - start, dtype=np.uint64)
             least = sliding_min(own, width)[:STRETCH]
-            at = np.flatnonzero(room[start : start + len(least)])
+            # Windows that fit into their document.
+            docs = doc_of[start : start + len(least)]
+            at = np.flatnonzero(
+                units.cuts[1:][docs] - np.arange(start, start + len(least)) >= units.window
+            )
             if not len(at):
                 continue
             code = least[at] >> np.uint64(PLACE_BITS)
             fresh = np.ones(len(at), bool)
             fresh[1:] = (code[1:] != code[:-1]) | (np.diff(at) > 1)
             # A new document is a new run even where windows follow on each other.
-            doc = np.searchsorted(units.cuts, at + start, side="right") - 1
+            doc = docs[at]
             fresh[1:] |= doc[1:] != doc[:-1]
             since = np.arange(len(at)) - np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
             fresh |= since % LONGEST_RUN == 0
@@ -505,8 +506,8 @@ def repeated_windows(
 
 def covered(starts: np.ndarray, width: int) -> np.ndarray:
     """Units that some marked window of ``width`` units covers; marked windows fit into their document."""
-    change = np.zeros(len(starts) + 1, np.int64)
+    change = np.zeros(len(starts) + 1, np.int32)
     at = np.flatnonzero(starts)
     change[at] += 1
-    np.subtract.at(change, at + width, 1)
-    return np.cumsum(change[:-1]) > 0
+    change[at + width] -= 1
+    return np.cumsum(change[:-1], dtype=np.int32) > 0

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from regua.llm.common import pieces, ship, store, texts_of
 
 #: Bytes of text in a slice; a single longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 SCHEMA = T.StructType(
     [T.StructField("n_bytes", T.LongType()), T.StructField("payload", T.BinaryType())]

@@ -129,9 +129,11 @@ class ByteUnits(Units):
         self.buffer = b"".join(bodies)
         self.cuts = np.cumsum([0, *map(len, bodies)])
 
-    def hashes(self) -> np.ndarray:
-        n = len(self.buffer)
-        raw = np.frombuffer(self.buffer + bytes(GRAM + 8), np.uint8)
+    def hashes(self, start: int, stop: int) -> np.ndarray:
+        n = stop - start
+        raw = np.zeros(n + GRAM + 8, np.uint8)
+        own = np.frombuffer(self.buffer, np.uint8)[start : stop + GRAM + 8]
+        raw[: len(own)] = own
         # Eight bytes at a time, then four of these for each gram.
         word = np.lib.stride_tricks.as_strided(raw, (n + GRAM, 8), (1, 1))
         word = np.ascontiguousarray(word).view("<u8").ravel()

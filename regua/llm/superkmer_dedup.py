@@ -35,6 +35,7 @@ class WordUnits(Units):
         self.doc_ids, texts = open_slice(payload)
         words, self.cuts = split_words(texts)
         self.coded = words.dictionary_encode()
+        self.codes: np.ndarray | None = None
         sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         # The words of the slice with one space behind each.
         self.end = np.cumsum(sizes + 1) - 1
@@ -42,14 +43,16 @@ class WordUnits(Units):
         whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
         self.buffer = pc.binary_join(whole, " ")[0].as_buffer().to_pybytes() if len(words) else b""
 
-    def hashes(self) -> np.ndarray:
-        names = self.coded.dictionary
-        codes = np.fromiter((xxhash.xxh3_64_intdigest(n.as_buffer()) for n in names), np.uint64, len(names))
-        own = codes[self.coded.indices.to_numpy(zero_copy_only=False)]
-        padded = np.concatenate((own, np.zeros(GRAM, np.uint64)))
-        mixed = np.zeros(len(own), np.uint64)
-        for k in range(GRAM):
-            mixed = (mixed ^ padded[k : k + len(own)]) * np.uint64(0x9E3779B97F4A7C15)
+    def hashes(self, start: int, stop: int) -> np.ndarray:
+        if self.codes is None:
+            names = self.coded.dictionary
+            codes = (xxhash.xxh3_64_intdigest(n.as_buffer()) for n in names)
+            own = np.fromiter(codes, np.uint64, len(names))[self.coded.indices.to_numpy(zero_copy_only=False)]
+            self.codes = np.concatenate((own, np.zeros(GRAM, np.uint64)))
+        n = stop - start
+        mixed = np.zeros(n, np.uint64)
+        for k in range(start, start + GRAM):
+            mixed = (mixed ^ self.codes[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
         return mixed * np.uint64(0xD6E8FEB86659FD93)
 
