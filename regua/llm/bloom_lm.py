@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from regua.llm.common import ship, store
 from regua.llm.slices import open_slice, pack, pack_array, slices, split_words, unpack, unpack_array
 
-BASE, MU = 1.5, 30.0
+BASE, MU = 1.5, 1000.0
 BITS_PER_ENTRY, HASHES, MAX_BITS = 10, 5, 1 << 31
 #: Bytes of text for each bucket of words and of n-grams.
 WORD_BUCKET, GRAM_BUCKET = 64 << 20, 8 << 20
