@@ -73,7 +73,7 @@ class Counter:
         self.endings = {t[at:] for t in self.ids for at in range(len(t))}
         self.specials = regex.compile("|".join(map(regex.escape, sorted(specials)))) if specials else None
         self.pattern = compiled()
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.totals: dict[str, int] = {}
         self.split = Split(self._stretches)
 
@@ -94,50 +94,74 @@ class Counter:
             ids[at : at + 2] = [made]
         return ids
 
-    def _follows(self, before: int, token: int) -> bool:
-        """Whether ``token`` may follow ``before`` (-1: nothing) in an encoding."""
-        key = before, token
-        known = self.follows.get(key)
-        if known is None:
-            if len(self.follows) > REMEMBERED:
-                self.follows.clear()
-            expected = [token] if before < 0 else [before, token]
-            known = self._merged(b"".join(self.bytes_of[t] for t in expected)) == expected
-            self.follows[key] = known
-        return known
+    def _test(self, before: int, token: int, key: int) -> bool:
+        """Whether ``token`` may follow ``before`` (-1: nothing) in an encoding; remembered under ``key``."""
+        if len(self.follows) > REMEMBERED:
+            self.follows.clear()
+        expected = [token] if before < 0 else [before, token]
+        found = self._merged(b"".join([self.bytes_of[t] for t in expected])) == expected
+        self.follows[key] = found
+        return found
+
+    def _extend(self, data: bytes, last: list[int], counts: list[int]) -> None:
+        """Add last token and number of tokens of the prefixes of ``data`` that the lists lack."""
+        token_of, known, endings = self.ids.get, self.follows.get, self.endings
+        for end in range(len(last), len(data) + 1):
+            start = end - 1
+            while True:
+                piece = data[start:end]
+                token = token_of(piece)
+                if token is not None:
+                    before = last[start]
+                    key = (before + 1) << 20 | token
+                    fits = known(key)
+                    if fits is None:
+                        fits = self._test(before, token, key)
+                    if fits:
+                        last.append(token)
+                        counts.append(counts[start] + 1)
+                        break
+                elif piece not in endings:
+                    raise AssertionError("the vocabulary misses a byte")
+                start -= 1
 
     def word(self, data: bytes) -> list[int]:
         """The number of tokens of each prefix of a word, the empty prefix first."""
-        ids, endings, follows = self.ids, self.endings, self._follows
         last, counts = [-1], [0]
-        for end in range(1, len(data) + 1):
-            for start in range(end - 1, -1, -1):
-                piece = data[start:end]
-                token = ids.get(piece)
-                if token is None:
-                    if piece not in endings:
-                        raise AssertionError("no token ends here")
-                elif follows(last[start], token):
-                    last.append(token)
-                    counts.append(counts[start] + 1)
-                    break
-            else:
-                raise AssertionError("the vocabulary misses a byte")
+        self._extend(data, last, counts)
         return counts
 
+    def _learn(self, words: set[str]) -> None:
+        """Totals of words not met yet. In sorted order, a word takes over the prefixes that it shares with the one before."""
+        if len(self.totals) + len(words) > REMEMBERED:
+            self.totals.clear()
+        last, counts, before = [-1], [0], b""
+        for data, word in sorted((w.encode(), w) for w in words):
+            shared = 0
+            for x, y in zip(before, data):
+                if x != y:
+                    break
+                shared += 1
+            del last[shared + 1 :], counts[shared + 1 :]
+            self._extend(data, last, counts)
+            self.totals[word] = counts[-1]
+            before = data
+
     def _total(self, word: str) -> int:
-        known = self.totals.get(word)
-        if known is None:
-            if len(self.totals) > REMEMBERED:
-                self.totals.clear()
-            known = self.totals[word] = self.word(word.encode())[-1]
-        return known
+        if word not in self.totals:
+            self._learn({word})
+        return self.totals[word]
 
     # --- whole texts --------------------------------------------------------
 
     def _stretches(self, stretches: list[str]) -> list[int]:
-        total, find = self._total, self.pattern.findall
-        return [sum(map(total, find(s))) for s in stretches]
+        split = [self.pattern.findall(s) for s in stretches]
+        asked = {w for words in split for w in words}
+        missing = asked - self.totals.keys()
+        # When the memory starts anew, words known so far are asked again.
+        self._learn(missing if len(self.totals) + len(missing) <= REMEMBERED else asked)
+        totals = self.totals
+        return [sum([totals[w] for w in words]) for words in split]
 
     def count(self, texts: list[str]) -> list[int]:
         """The number of tokens of each whole text."""
