@@ -169,4 +169,4 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     )
     found = components(base, fp, doc_id, row)
     kept = found.select(F.col("keep_row").alias(row)).distinct()
-    return base.join(kept, row, "left_semi").select(docs.columns)
+    return base.join(kept.hint("merge"), row, "left_semi").select(docs.columns)

@@ -178,4 +178,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text")
     staged, windows = _staged(docs, benchmark, text, names, "item_id", "text")
     staged = store(staged.withColumn(row, F.monotonically_increasing_id()), "scanned")
     found = verified(staged, windows, row, names["found"]).select(row)
-    return staged.join(found, row, "left_anti").select(docs.columns)
+    return staged.join(found.hint("merge"), row, "left_anti").select(docs.columns)
