@@ -2,9 +2,14 @@
 
 Counts of n-grams are quantised to levels: level j stands for counts from
 ``BASE**j`` up to the next level, and an n-gram of level j is put into a Bloom
-filter with each of the numbers 1 to j. The filter is broadcast; a count comes
-back by asking for level 1, 2 and so on until one is missing. It is never too
-low, and too high only by false hits.
+filter with each of the numbers 1 to j. A count comes back by asking for level
+1, 2 and so on until one is missing. It is never too low, and too high only by
+false hits.
+
+The filter is cut by bucket of keys. A bucket gets the n-grams of all slices,
+training and held out, adds up the training counts, makes its segment of bits
+and asks it for each n-gram it got; the levels go back to the slices. No place
+holds more than one segment, so every entry has the same bits at every size.
 
 The model: p(w | h) = (count(h w) + MU * p0(w)) / (count(h) + MU), with counts
 from the filter, at most 1, and p0 the add-one unigram probability that also
@@ -12,9 +17,8 @@ makes ``base_score``. A text starts behind an end token and ends with one.
 
 All counts are over all training documents. Words are counted by slice first,
 then by bucket of their hash; each slice gets the counts of its own words back,
-so no vocabulary has to fit into one place. The filter has ``BITS_PER_ENTRY``
-bits for each entry, so it grows with the corpus, up to ``MAX_BITS``. Beyond that
-no n-gram is left out; the filter gets fuller and answers too high more often.
+so no vocabulary has to fit into one place. A segment has ``BITS_PER_ENTRY`` bits
+for each entry, whatever the size of the corpus.
 
 Defined results: a null or empty text is one end token; documents without an id
 are training documents; without training tokens every base probability is 1 and
@@ -37,7 +41,9 @@ from regua.llm.common import ship, store
 from regua.llm.slices import open_slice, pack, pack_array, slices, split_words, unpack, unpack_array
 
 BASE, MU = 1.5, 1000.0
-BITS_PER_ENTRY, HASHES, MAX_BITS = 10, 5, 1 << 31
+BITS_PER_ENTRY, HASHES = 10, 5
+#: No count that fits into 64 bits has a higher level.
+TOP = 128
 #: Bytes of text for each bucket of words and of n-grams.
 WORD_BUCKET, GRAM_BUCKET = 64 << 20, 8 << 20
 KEY_BITS = 48
@@ -45,6 +51,8 @@ KEY_BITS = 48
 END = ""
 
 BLOCKS = "bucket long, slice long, block binary"
+#: Kinds of answers.
+WORDS, GRAMS = 0, 1
 
 
 def held_out_id(doc_id: int | None) -> bool:
@@ -181,58 +189,81 @@ def word_counts(rows: DataFrame, n: int) -> DataFrame:
     )
 
 
-def gram_levels(rows: DataFrame, n: int) -> DataFrame:
-    """Stored rows (bucket, entries, keys, level): the n-grams of a bucket that the filter holds."""
+class Grams:
+    """The n-grams of a slice: their keys in order, training counts, and where the keys of each bucket begin."""
 
-    def send(number: int, payload: bytes) -> pa.RecordBatch:
-        own = Tokens(payload)
+    def __init__(self, own: Tokens, n: int):
         training = own.training()
-        keys, counts = np.unique(own.bigrams()[training], return_counts=True)
-        single = np.bincount(own.ids[training], minlength=len(own.names))
-        met = single > 0
-        keys = np.concatenate((keys, own.unigrams()[met]))
-        counts = np.concatenate((counts, single[met]))
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.uint32)
-        bucket = ((keys >> np.uint64(16)) * np.uint64(n) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
-        cuts = np.searchsorted(bucket, np.arange(n + 1))
-        buckets, blocks = [], []
-        for at, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
-            if b > a:
-                steps = np.diff(keys[a:b], prepend=np.uint64(0))
-                packed = pa.table(
-                    {"k": pa.array([pack_array(steps)], pa.binary()), "n": pa.array([pack_array(counts[a:b])], pa.binary())}
+        self.of_names, self.of_tokens = own.unigrams(), own.bigrams()
+        pairs, at = np.unique(self.of_tokens, return_inverse=True)
+        keys = np.concatenate((pairs, self.of_names))
+        counts = np.concatenate(
+            (np.bincount(at[training], minlength=len(pairs)), np.bincount(own.ids[training], minlength=len(own.names)))
+        )
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.counts = keys[order], counts[order].astype(np.uint32)
+        # Where the keys of pairs and of names have gone to.
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.names, self.tokens = place[len(pairs) :], place[at]
+        bucket = ((self.keys >> np.uint64(16)) * np.uint64(n) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
+        self.cuts = np.searchsorted(bucket, np.arange(n + 1))
+
+
+def filtered(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What the filter of these counts answers for each of the keys, which may stand there repeatedly."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    first = np.flatnonzero(np.diff(ranked, prepend=~ranked[:1]))
+    distinct = ranked[first]
+    sums = np.add.reduceat(counts[order].astype(np.int64), first)
+    level = np.zeros(len(distinct), np.int64)
+    level[sums > 0] = levels(sums[sums > 0])
+    bits = segment(distinct[level > 0], level[level > 0], BITS_PER_ENTRY)
+    found = Filter({0: bits}, 1).level(distinct).astype(np.uint8)
+    out = np.empty(len(keys), np.uint8)
+    out[order] = np.repeat(found, np.diff(first, append=len(keys)))
+    return out
+
+
+def gram_levels(rows: DataFrame, n: int) -> DataFrame:
+    """Stored blocks (bucket, slice, block): levels of the n-grams a slice sent to a bucket, in its order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = Grams(Tokens(payload.as_py()), n)
+                buckets, keys, counts = [], [], []
+                for at, (a, b) in enumerate(zip(own.cuts.tolist(), own.cuts[1:].tolist())):
+                    if b > a:
+                        buckets.append(at)
+                        keys.append(pack_array(np.diff(own.keys[a:b], prepend=np.uint64(0))))
+                        counts.append(pack_array(own.counts[a:b]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(buckets, pa.int64()),
+                        pa.array([number] * len(buckets), pa.int64()),
+                        pa.array(keys, pa.binary()),
+                        pa.array(counts, pa.binary()),
+                    ],
+                    names=["bucket", "slice", "keys", "counts"],
                 )
-                buckets.append(at)
-                blocks.append(pack(packed))
-        return _block_rows(buckets, number, blocks)
 
-    def total(group: pa.Table) -> pa.Table:
-        keys, counts = [], []
-        for data in group.column("block").to_pylist():
-            block = unpack(data)
-            keys.append(np.cumsum(unpack_array(block.column("k")[0].as_py(), "u8"), dtype=np.uint64))
-            counts.append(unpack_array(block.column("n")[0].as_py(), "u4"))
-        keys, counts = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
-        level = levels(np.add.reduceat(counts.astype(np.int64), first))
-        keys, level = keys[first][level > 0], level[level > 0]
+    def answer(group: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpack_array(k, "u8"), dtype=np.uint64) for k in group.column("keys").to_pylist()]
+        counts = [unpack_array(c, "u4") for c in group.column("counts").to_pylist()]
+        cuts = np.cumsum([0] + [len(k) for k in keys]).tolist()
+        level = filtered(np.concatenate(keys), np.concatenate(counts))
         return pa.table(
             {
-                "bucket": group.column("bucket")[:1],
-                "entries": pa.array([int(level.sum())], pa.int64()),
-                "keys": pa.array([pack_array(keys)], pa.binary()),
-                "level": pa.array([pack_array(level.astype(np.uint8))], pa.binary()),
+                "bucket": group.column("bucket"),
+                "slice": group.column("slice"),
+                "block": pa.array([pack_array(level[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
             }
         )
 
-    blocks = _each_slice(rows, send, BLOCKS)
-    return store(
-        blocks.groupBy("bucket").applyInArrow(total, "bucket long, entries long, keys binary, level binary"),
-        "gram_levels",
-    )
+    sent = rows.select("slice", "payload").mapInArrow(run, "bucket long, slice long, keys binary, counts binary")
+    return store(sent.groupBy("bucket").applyInArrow(answer, BLOCKS), "gram_levels")
 
 
 # --- the filter -------------------------------------------------------------
@@ -254,7 +285,7 @@ class Filter:
         bucket = ((keys >> np.uint64(16)) * np.uint64(self.n) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
         at = np.flatnonzero(self.size[bucket] > 0)
         level = 0
-        while len(at):
+        while len(at) and level < TOP:
             level += 1
             own, where = keys[at], bucket[at]
             size, begin = self.size[where].astype(np.uint64), self.begin[where]
@@ -286,34 +317,16 @@ def segment(keys: np.ndarray, level: np.ndarray, bits_per_entry: float) -> bytes
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def build_filter(held: DataFrame, n: int, max_bits: int = MAX_BITS) -> Filter:
-    """The filter of all buckets; its bits are bounded, so the driver can hold and send them."""
-    entries = held.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
-    per_entry = min(float(BITS_PER_ENTRY), (max_bits - 64 * n) / max(entries, 1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [
-                segment(unpack_array(k, "u8"), unpack_array(v, "u1"), per_entry)
-                for k, v in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.binary())], names=["bucket", "bits"]
-            )
-
-    made = held.select("bucket", "keys", "level").mapInArrow(run, "bucket long, bits binary")
-    return Filter({r.bucket: bytes(r.bits) for r in made.collect()}, n)
-
-
 # --- scoring ----------------------------------------------------------------
 
 
-def score_slice(own: Tokens, counts: np.ndarray, n: int, v: int, held: Filter) -> dict[str, np.ndarray]:
-    """Base and model score of each document of a slice, with its numbers of tokens."""
+def score_slice(
+    own: Tokens, counts: np.ndarray, n: int, v: int, names: np.ndarray, tokens: np.ndarray
+) -> dict[str, np.ndarray]:
+    """Base and model score of each document of a slice, from the levels of its names and of the pairs at its tokens."""
     starts = own.cuts[:-1]
     prior = (counts + 1) / (n + v + 1)
-    history = count_of(held.level(own.unigrams()))
-    pairs = count_of(held.level(own.bigrams()))
+    history, pairs = count_of(names), count_of(tokens)
     before = np.zeros_like(own.ids)
     before[1:] = own.ids[:-1]
     before[starts] = 0
@@ -343,7 +356,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counted = word_counts(rows, n_words)
     sums = counted.agg(F.sum("tokens"), F.sum("distinct")).first()
     n, v = sums[0] or 0, sums[1] or 0
-    held = spark.sparkContext.broadcast(build_filter(gram_levels(rows, n_grams), n_grams))
+    held = gram_levels(rows, n_grams)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -351,9 +364,14 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             own = Tokens(payload)
             counts = np.zeros(len(own.names), np.int64)
             order, cuts = word_buckets(own.codes, n_words)
-            for bucket, block in zip(right.column("bucket").to_pylist(), right.column("block").to_pylist()):
-                counts[order[cuts[bucket] : cuts[bucket + 1]]] = unpack_array(block, "i8")
-            scored = score_slice(own, counts, n, v, held.value)
+            grams = Grams(own, n_grams)
+            level = np.zeros(len(grams.keys), np.uint8)
+            for kind, bucket, block in zip(*(right.column(c).to_pylist() for c in ("kind", "bucket", "block"))):
+                if kind == WORDS:
+                    counts[order[cuts[bucket] : cuts[bucket + 1]]] = unpack_array(block, "i8")
+                else:
+                    level[grams.cuts[bucket] : grams.cuts[bucket + 1]] = unpack_array(block, "u1")
+            scored = score_slice(own, counts, n, v, level[grams.names], level[grams.tokens])
             out.append(
                 pa.table(
                     {
@@ -369,9 +387,12 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             )
         return pa.concat_tables(out)
 
+    answers = counted.select("slice", F.lit(WORDS).alias("kind"), "bucket", "block").unionAll(
+        held.select("slice", F.lit(GRAMS).alias("kind"), "bucket", "block")
+    )
     return (
         rows.select("slice", "payload")
         .groupBy("slice")
-        .cogroup(counted.select("slice", "bucket", "block").groupBy("slice"))
+        .cogroup(answers.groupBy("slice"))
         .applyInArrow(work, SCORED)
     )

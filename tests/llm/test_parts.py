@@ -190,6 +190,28 @@ def test_filter_is_never_too_low():
     assert (held.level(others) > 0).mean() < 0.03
 
 
+def test_filter_keeps_its_bits_at_every_size():
+    # What a segment answers does not hang on how many entries the whole filter has: no cap, no broadcast of all.
+    assert not hasattr(bloom_lm, "MAX_BITS") and not hasattr(bloom_lm, "build_filter")
+    rng = np.random.default_rng(4)
+    for n in (50, 5_000, 500_000):
+        keys = np.unique(rng.integers(0, 1 << bloom_lm.KEY_BITS, 2 * n, dtype=np.uint64))
+        rng.shuffle(keys)
+        counts = rng.integers(2, 40, len(keys))
+        counts[: len(keys) // 2] = 0
+        # Each key comes from two slices.
+        found = bloom_lm.filtered(np.concatenate((keys, keys)), np.concatenate((counts, 0 * counts)))
+        assert (found[: len(keys)] == found[len(keys) :]).all()
+        found, never = found[: len(keys)], counts == 0
+        assert (found[~never] >= bloom_lm.levels(counts[~never])).all()
+        assert (found[never] > 0).mean() < (0.2 if n == 50 else 0.02) and found[never].max() < 6
+
+
+def test_search_for_levels_ends_in_a_full_filter():
+    held = bloom_lm.Filter({0: b"\xff" * 8}, 1)
+    assert (held.level(np.arange(100, dtype=np.uint64)) == bloom_lm.TOP).all()
+
+
 def test_levels_stand_for_their_counts():
     counts = np.arange(1, 5000)
     level = bloom_lm.levels(counts)
