@@ -1,8 +1,8 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 Counts of n-grams are quantised to levels: level j stands for counts from
-``BASE**j`` up to the next level, and an n-gram of level j is put into a Bloom
-filter with each of the numbers 1 to j. A count comes back by asking for level
+``BASE**(j - 1)`` up to the next level, so a count of one is level 1, and an
+n-gram of level j is put into a Bloom filter with each of the numbers 1 to j. A count comes back by asking for level
 1, 2 and so on until one is missing. It is never too low, and too high only by
 false hits.
 
@@ -107,13 +107,14 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
-    """Level of each count of at least 1; 0 stands for a count that is not held."""
+    """Whole power of BASE in each count of at least 1; the filter holds it as the level above, since 0 is for no count."""
     return np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64)
 
 
 def count_of(level: np.ndarray) -> np.ndarray:
-    """What a level stands for: the middle of its counts."""
-    return np.where(level > 0, (BASE**level + BASE ** (level + 1) - 1) / 2, 0.0)
+    """What a level of the filter stands for: the middle of its counts, all whole numbers."""
+    level = np.asarray(level, np.float64)
+    return np.where(level > 0, (np.ceil(BASE ** (level - 1)) + np.ceil(BASE**level) - 1) / 2, 0.0)
 
 
 # --- counting ---------------------------------------------------------------
@@ -218,7 +219,7 @@ def filtered(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     distinct = ranked[first]
     sums = np.add.reduceat(counts[order].astype(np.int64), first)
     level = np.zeros(len(distinct), np.int64)
-    level[sums > 0] = levels(sums[sums > 0])
+    level[sums > 0] = 1 + levels(sums[sums > 0])
     bits = segment(distinct[level > 0], level[level > 0], BITS_PER_ENTRY)
     found = Filter({0: bits}, 1).level(distinct).astype(np.uint8)
     out = np.empty(len(keys), np.uint8)

@@ -1,9 +1,11 @@
 """Parts of the operators by themselves."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -21,6 +23,7 @@ from regua.llm import (
     token_dp,
 )
 from regua.llm.components import connected_components
+from regua.llm.slices import pack
 
 ALPHABET = ["a", "b", "the", " ", "  ", "\n", "\t", "'s", "'", "re", "é", "1", "23", "!", "...", "\xa0", "　", "\x1c", "\x85", "日本", " a", "<|endoftext|>", "<|end"]
 
@@ -207,6 +210,40 @@ def test_filter_keeps_its_bits_at_every_size():
         assert (found[never] > 0).mean() < (0.2 if n == 50 else 0.02) and found[never].max() < 6
 
 
+def test_once_seen_grams_are_held():
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << bloom_lm.KEY_BITS, 3000, dtype=np.uint64))
+    for count in (1, 2, 3):
+        found = bloom_lm.count_of(bloom_lm.filtered(keys, np.full(len(keys), count)))
+        assert (found >= count).all() and (found == count).mean() > 0.95
+    counts = np.arange(1, 5000)
+    stands = bloom_lm.count_of(1 + bloom_lm.levels(counts))
+    assert (stands < counts * bloom_lm.BASE).all() and (stands > counts / bloom_lm.BASE).all()
+
+
+def test_scores_are_those_of_exact_counts():
+    texts = ["the cat sat on the mat", "a dog sat", "the cat", "", "the dog sat on a cat and the cat ran"]
+    table = pa.table({"doc_id": pa.array([None] * len(texts), pa.int64()), "text": texts})
+    own = bloom_lm.Tokens(pack(table))
+    grams = bloom_lm.Grams(own, 1)
+    level = bloom_lm.filtered(grams.keys, grams.counts)
+    single, pairs = Counter(), Counter()
+    for text in texts:
+        tokens = text.split() + [""]
+        single.update(tokens)
+        pairs.update(zip([""] + tokens, tokens))
+    n, v = sum(single.values()), len(single)
+    counts = np.array([single[name] for name in own.names.to_pylist()])
+    found = bloom_lm.score_slice(own, counts, n, v, level[grams.names], level[grams.tokens])["score"]
+    for text, score in zip(texts, found, strict=True):
+        tokens = text.split() + [""]
+        expected = 0.0
+        for h, w in zip([""] + tokens, tokens):
+            prior = (single[w] + 1) / (n + v + 1)
+            expected += np.log10((pairs[h, w] + bloom_lm.MU * prior) / (single[h] + bloom_lm.MU))
+        # Counts above 3 are quantised, and a few answers may be too high.
+        assert score == pytest.approx(expected, abs=0.02)
+
+
 def test_search_for_levels_ends_in_a_full_filter():
     held = bloom_lm.Filter({0: b"\xff" * 8}, 1)
     assert (held.level(np.arange(100, dtype=np.uint64)) == bloom_lm.TOP).all()
