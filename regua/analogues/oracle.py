@@ -412,6 +412,8 @@ FROM micro GROUP BY ano, sigla_uf""",
     + end_of_sort("inicio", "taxa DESC NULLS LAST, id_municipio, rede, ano")
     + " UNION ALL "
     + end_of_sort("fim", "taxa ASC NULLS FIRST, id_municipio DESC, rede DESC, ano DESC"),
+    "sort_all_nulls_last": f"WITH {MICRO}, {results('id_municipio')}, {GAPPY} "
+    "SELECT * FROM gappy ORDER BY taxa DESC NULLS LAST, id_municipio, rede, ano",
     "topk_lowest": f"""
 WITH {MICRO}, {results("id_municipio")}
 SELECT ano, id_municipio, rede, taxa_alfabetizacao, media_portugues FROM result

@@ -406,15 +406,24 @@ def _city_results(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def sort_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
-    """Both ends of a full sort, missing rates included."""
-    gappy = _city_results(spark, sf).select(
+def _gappy_results(spark: SparkSession, sf: str) -> DataFrame:
+    return _city_results(spark, sf).select(
         "ano",
         CITY,
         "rede",
         F.when(F.col("ano") != NEW_YEARS, F.col("taxa_alfabetizacao")).alias("taxa"),
         "media_portugues",
     )
+
+
+def sort_all_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
+    """A full sort, every row of it."""
+    return _gappy_results(spark, sf).orderBy(*descending("taxa"), *ascending(*_RESULT_TIES))
+
+
+def sort_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
+    """Both ends of the sort of ``sort_all_nulls_last``, missing rates included."""
+    gappy = _gappy_results(spark, sf)
     ordered = [*descending("taxa"), *ascending(*_RESULT_TIES)]
     backwards = [F.col("taxa").asc_nulls_first(), *[F.col(c).desc() for c in _RESULT_TIES]]
     ends = (
@@ -605,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "agg_count_distinct": agg_count_distinct,
     "agg_flag_rate": agg_flag_rate,
     "sort_nulls_last": sort_nulls_last,
+    "sort_all_nulls_last": sort_all_nulls_last,
     "topk_lowest": topk_lowest,
     "dq_duplicates": dq_duplicates,
     "dq_range": dq_range,

@@ -54,3 +54,15 @@ def test_sort_cannot_be_left_out(spark, duck, monkeypatch):
     monkeypatch.setattr(DataFrame, "orderBy", lambda self, *columns: self)
     unsorted = QUERIES["sort_nulls_last"](spark, SF).toPandas()
     assert difference(unsorted, duck.execute(ORACLE["sort_nulls_last"]).df()) is not None
+
+
+def test_full_sort_in_order(spark, duck, monkeypatch):
+    query, sql = QUERIES["sort_all_nulls_last"], ORACLE["sort_all_nulls_last"]
+    theirs = in_order(duck.execute(sql).df())
+    assert len(theirs) > 120
+    assert in_order(query(spark, SF).toPandas()) == theirs
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "orderBy", lambda self, *columns: self)
+    assert in_order(query(spark, SF).toPandas()) != theirs
