@@ -9,7 +9,10 @@ the wanted length or more cover. To remove all copies, positions with a later
 match (the same, looked at from behind) are added.
 
 At scale, :mod:`regua.llm.repeats` brings the strings that may be equal into
-buckets of bounded size, and suffix order is made there.
+buckets of bounded size, and suffix order is made there. Equal whole runs are met
+by their bytes, and windows of a minimiser with more than ``SPLIT_BYTES`` of runs by
+128-bit digests, without suffix order. Longest previous factors serve ``keep_first``
+only.
 
 Defined results: a null or empty text has nothing to remove; a text shorter
 than the string length is left alone; matches never cross documents; repeated
