@@ -76,4 +76,54 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(body, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r) LEFT JOIN counted USING (r)
     """,
+    "op12_importance": f"""
+        WITH RECURSIVE remainders AS (
+            SELECT b, 0 AS step, b AS c FROM range(256) t(b)
+            UNION ALL
+            SELECT b, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            FROM remainders WHERE step < 8
+        ), crc AS (
+            SELECT list(c ORDER BY b) AS entries FROM remainders WHERE step = 8
+        ), d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+            FROM documents
+        ), b AS (
+            SELECT regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+            FROM benchmark
+        ), words AS (
+            SELECT r, unnest(ws) AS word FROM d
+        ), target AS (
+            SELECT unnest(ws) AS word FROM b
+        ), coded AS (
+            SELECT word, xor(list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))),
+                           lambda i: ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT)),
+                       lambda c, x: xor(c >> 8, entries[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM (SELECT word FROM words UNION SELECT word FROM target), crc
+        ), counts AS (
+            SELECT bucket, sum(s) AS s, sum(t) AS t
+            FROM (SELECT word, count(*) AS s, 0 AS t FROM words GROUP BY word
+                  UNION ALL SELECT word, 0, count(*) FROM target GROUP BY word)
+            JOIN coded USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                       / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM counts
+        ), weights AS (
+            SELECT r, floor(sum(gain) / count(*))::BIGINT AS weight
+            FROM words JOIN coded USING (word) JOIN gains USING (bucket) GROUP BY r
+        ), scored AS (
+            SELECT r, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (('0x' || left(sha256('2024:' || doc_id::VARCHAR), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE
+                   )))::BIGINT AS score
+            FROM d LEFT JOIN weights USING (r)
+        ), eligible AS (
+            SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+            FROM scored WHERE n_features >= 20 AND doc_id IS NOT NULL
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+        FROM scored LEFT JOIN eligible USING (r)
+    """,
 }

@@ -11,12 +11,15 @@ from regua.llm import (
     byte_bpe,
     covering_simhash,
     decontaminate,
+    deobfuscate,
     ga2m_quality,
+    importance,
     language_birnn,
     radix_dedup,
     suffix_dedup,
     superkmer_dedup,
     token_dp,
+    whitening,
 )
 from regua.llm.common import read
 
@@ -63,6 +66,18 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return ga2m_quality.quality_scores(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf, "embeddings"))
+
+
+def op12_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.importance(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return deobfuscate.personal_data(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
@@ -74,4 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_importance": op12_importance,
+    "op13_personal_data": op13_personal_data,
 }

@@ -65,12 +65,35 @@ def write(folder, docs, items, labels) -> str:
     pq.write_table(
         pa.table({f.name: pa.array(c, f.type) for f, c in zip(kinds, columns)}), folder / "labels.parquet"
     )
+    vectors = awkward_vectors() if docs else []
+    pq.write_table(
+        pa.table(
+            {
+                "vec_id": pa.array([v for v, _ in vectors], pa.int64()),
+                "embedding": pa.array([e for _, e in vectors], pa.list_(pa.float32())),
+                **{name: pa.array(["own"] * len(vectors)) for name in ("x", "n", "part", "component", "label")},
+            }
+        ),
+        folder / "embeddings.parquet",
+        row_group_size=32,
+    )
     return str(folder)
 
 
+def awkward_vectors() -> list:
+    rng = random.Random(11)
+    vectors = [(i, [rng.gauss(0, 0.2) * (k + 1) for k in range(6)]) for i in range(90)]
+    # One vector many times, one that is equal only as whole numbers, negative zeros.
+    vectors += [(100 + i, vectors[3][1]) for i in range(60)]
+    vectors += [(170, [c + 1e-6 * (256 * c % 1 < 0.9) for c in vectors[5][1]]), (171, [-0.0] * 6), (172, [0.0] * 6)]
+    vectors += [(None, vectors[7][1]), (7, vectors[8][1]), (None, None), (180, None), (181, []), (182, [0.5] * 5)]
+    vectors += [(183, [None, *[0.1] * 5]), (184, [float("nan"), *[0.1] * 5]), (185, [0.1] * 5 + [float("inf")])]
+    return vectors
+
+
 CLASHING = (
-    "row score kept fp fingerprint row_number n_words found quality_score text_digest r g n id stretch "
-    "held_10 scanned slice payload held_out sha n_tokens ids"
+    "row score kept fp fingerprint row_number n_words quality_score text_digest r g n id stretch "
+    "held_10 scanned slice payload held_out sha n_tokens ids weight eligible spans found rank line bucket gain"
 ).split()
 
 

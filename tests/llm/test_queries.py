@@ -25,6 +25,9 @@ COLUMNS = {
     "op8_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op9_simhash": "doc_id fingerprint component_id",
     "op10_quality": "doc_id held_out score predicted",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_importance": "doc_id n_features weight score rank",
+    "op13_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans n_disguised",
 }
 
 
