@@ -44,8 +44,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: What follows the name of an address. The name is everything before it that may be in one.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 NAME = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
-#: An address that begins within a run of digits begins at its start, so no other start is tried.
-IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
+#: An address begins at the start of a run of digits; runs that begin none are taken whole, so no other start is tried.
+IP = re.compile(r"([0-9]++)(?:\.([0-9]++)\.([0-9]++)\.([0-9]++))?")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
@@ -71,6 +71,8 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def _ips(text: str) -> Iterator[tuple[int, int]]:
     for match in IP.finditer(text):
+        if match[2] is None:
+            continue
         parts = [p.lstrip("0") for p in match.groups()]
         if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             yield match.span()
@@ -163,13 +165,19 @@ _PLACES = re.compile(
 
 #: What a text must hold for a transducer to change it; a wider net than their patterns.
 TRIGGER = (
-    "(?i)["
+    "["
     + "".join(sorted(LOOK_ALIKES))
-    + rf"]|(?:^|[^a-z0-9])(?:{_NAMED})(?:[ -]{{1,2}}(?:double |triple )?(?:{_NAMED}|[0-9])| (?:{DOT}) )"
-    + rf"|[0-9][ -]{{1,2}}(?:double |triple )?(?:{_NAMED})"
-    + rf"|[\[({{<] {{0,2}}(?:{AT}|{DOT}|@|\.) {{0,2}}[\])}}>]|[a-z0-9] (?:{DOT}) [a-z0-9]"
-    + rf"|[a-z0-9._%+-] (?:{CLEAR_AT}|@) [a-z0-9-]"
-    + rf"|[a-z0-9._%+-] at [a-z0-9-]{{1,63}} ?[\[({{<]? {{0,2}}(?:{DOT})[ \])}}>]"
+    + "]|(?i:"
+    + "|".join(
+        (
+            rf"(?:^|[^a-z0-9])(?:{_NAMED})(?:[ -]{{1,2}}(?:double |triple )?(?:{_NAMED}|[0-9])| (?:{DOT}) )",
+            rf"[0-9][ -]{{1,2}}(?:double |triple )?(?:{_NAMED})",
+            rf"[\[({{<] {{0,2}}(?:{AT}|{DOT}|@|\.) {{0,2}}[\])}}>]|[a-z0-9] (?:{DOT}) [a-z0-9]",
+            rf"[a-z0-9._%+-] (?:{CLEAR_AT}|@) [a-z0-9-]",
+            rf"[a-z0-9._%+-] at [a-z0-9-]{{1,63}} ?[\[({{<]? {{0,2}}(?:{DOT})[ \])}}>]",
+        )
+    )
+    + ")"
 )
 
 
