@@ -2,19 +2,20 @@
 
 One query writes valid and invalid events into separate folders of the same
 sink. The file sink commits both with the micro-batch, so a restart repeats and
-loses nothing.
+loses nothing. A run reports the events of the batches that it commits, counted in
+the files that the sink committed (:mod:`regua.streaming.sinklog`); no clock is asked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from datetime import datetime, timezone
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from regua.schemas import EVENT_FIELDS
+from regua.streaming.sinklog import committed_files, files_since, last_commit, place_of_row, refuse_foreign
 
 VALID, INVALID = "valido", "invalido"
 STATE_COLUMN = "situacao"
@@ -156,20 +157,35 @@ class Written(NamedTuple):
         return self.valid + self.invalid
 
 
-def records_written(spark: SparkSession, target: str, since: datetime) -> Written:
-    """Events below ``target`` with a stamp from ``since`` on, counted where they are stored.
+def events_by_batch(spark: SparkSession, target: str, files: Sequence[str]) -> DataFrame:
+    """(stamp, valid, invalid) of each batch that wrote some of ``files``.
 
-    Only the day folders from that day on are read. With ``since`` taken before a
-    run starts, these are the events of the run, however many batches it had.
+    All events of a batch carry its stamp. Only the day folders that the files are in are read.
     """
-    since = since.astimezone(timezone.utc)
+    days = sorted({place.split(f"{DAY_COLUMN}=")[1].split("/")[0] for place in files})
+    named = spark.createDataFrame([(place,) for place in files], "place string")
     columns = f"_ingestion_ts string, {STATE_COLUMN} string, {DAY_COLUMN} date"
-    recent = spark.read.schema(columns).json(target).where(
-        (F.col(DAY_COLUMN) >= F.lit(since.date()))
-        & (F.col("_ingestion_ts") >= since.isoformat(timespec="microseconds"))
+    stored = (
+        spark.read.schema(columns).json(target)
+        .where(F.col(DAY_COLUMN).cast("string").isin(days))
+        .withColumn("place", place_of_row())
+    )
+    of_state = lambda state: F.count_if(F.col(STATE_COLUMN) == state)
+    return (
+        stored.join(named, "place", "left_semi")
+        .groupBy(F.col("_ingestion_ts").alias("stamp"))
+        .agg(of_state(VALID).alias("valid"), of_state(INVALID).alias("invalid"))
     )
-    found = {row[STATE_COLUMN]: row["count"] for row in recent.groupBy(STATE_COLUMN).count().collect()}
-    return Written(found.get(VALID, 0), found.get(INVALID, 0))
+
+
+def records_written(spark: SparkSession, target: str, files: Sequence[str]) -> Written:
+    """Events in the files named, valid and invalid."""
+    if not files:
+        return Written(0, 0)
+    total = events_by_batch(spark, target, files).agg(
+        F.coalesce(F.sum("valid"), F.lit(0)), F.coalesce(F.sum("invalid"), F.lit(0))
+    )
+    return Written(*total.first())
 
 
 def ingest(
@@ -179,10 +195,17 @@ def ingest(
     fields: Mapping[str, str] = EVENT_FIELDS,
     **trigger,
 ) -> Written:
-    """Run until all available events are stored, and say how many were."""
-    since = datetime.now(timezone.utc)
+    """Run until all available events are stored, and say how many were.
+
+    These are the events of the batches that this run finishes, also of one that an
+    earlier run had begun, or had stored without noting it. Every event is so reported by
+    one run. A run whose query fails raises and reports nothing; the batches it had finished are not reported later.
+    """
+    spark = envelopes.sparkSession
+    refuse_foreign(spark, target, checkpoint)
+    known = committed_files(spark, target, last_commit(spark, checkpoint))
     start_ingest(envelopes, target, checkpoint, fields, **trigger).awaitTermination()
-    return records_written(envelopes.sparkSession, target, since)
+    return records_written(spark, target, files_since(spark, target, known))
 
 
 def read_events(

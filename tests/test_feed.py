@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from regua.streaming import feed
+from regua.streaming import feed, sinklog
 
 EVENT = {
     "event_type": "indicador_atualizado",
@@ -138,6 +138,90 @@ def test_counts_do_not_depend_on_remembered_progress(spark, tmp_path):
     assert written == (5, 1)
 
 
+def crash(tmp_path, batch, *, in_sink):
+    """What is left if a run ends after writing the files of a batch: its commits are missing."""
+    logs = [tmp_path / "checkpoint" / "commits"]
+    logs += [tmp_path / "out" / "_spark_metadata"] if in_sink else []
+    for log in logs:
+        for name in (f"{batch}", f".{batch}.crc"):
+            (log / name).unlink()
+
+
+@pytest.mark.parametrize("in_sink", [True, False])
+def test_a_batch_begun_before_a_crash_is_counted_by_the_run_that_ends_it(spark, tmp_path, in_sink):
+    put(tmp_path / "in", "a.jsonl", [EVENT] * 5 + ["cut", "[]"])
+    assert ingest(spark, tmp_path) == 7
+    crash(tmp_path, 0, in_sink=in_sink)
+    assert ingest(spark, tmp_path) == 7
+    assert len(stored(spark, tmp_path)) == 5 and len(stored(spark, tmp_path, feed.INVALID)) == 2
+    assert ingest(spark, tmp_path) == 0
+
+
+@pytest.mark.parametrize("in_sink", [True, False])
+def test_a_later_batch_after_a_crash(spark, tmp_path, in_sink):
+    put(tmp_path / "in", "a.jsonl", [EVENT] * 3)
+    assert ingest(spark, tmp_path) == 3
+    put(tmp_path / "in", "b.jsonl", [EVENT, "cut"])
+    assert ingest(spark, tmp_path) == 2
+    crash(tmp_path, 1, in_sink=in_sink)
+    put(tmp_path / "in", "c.jsonl", [EVENT] * 4)
+    # The repeated batch and the new one.
+    assert ingest(spark, tmp_path) == 6
+    assert len(stored(spark, tmp_path)) == 8
+
+
+def test_counts_over_packed_logs(spark, tmp_path):
+    """The sink packs its log every tenth batch."""
+    for k in range(12):
+        put(tmp_path / "in", f"{k:02}.jsonl", [EVENT] * (k + 1))
+    assert ingest(spark, tmp_path, max_files_per_trigger=1) == 78
+    log = tmp_path / "out" / "_spark_metadata"
+    assert list(log.glob("9.compact"))
+    # The sink may drop what is packed.
+    for k in range(9):
+        (log / str(k)).unlink()
+        (log / f".{k}.crc").unlink()
+    for k in range(12, 24):
+        put(tmp_path / "in", f"{k:02}.jsonl", [EVENT, "cut"])
+    envelopes = feed.read_envelopes(spark, str(tmp_path / "in"), 1)
+    assert feed.ingest(envelopes, str(tmp_path / "out"), str(tmp_path / "checkpoint")) == (12, 12)
+    assert len(stored(spark, tmp_path)) == 90
+
+
+def test_events_by_batch(spark, tmp_path):
+    for k in range(3):
+        put(tmp_path / "in", f"{k}.jsonl", [EVENT] * (k + 1) + ["cut"] * (k == 1))
+    ingest(spark, tmp_path, max_files_per_trigger=1)
+    target = str(tmp_path / "out")
+    found = feed.events_by_batch(spark, target, sinklog.committed_files(spark, target)).orderBy("stamp")
+    assert [(r.valid, r.invalid) for r in found.collect()] == [(1, 0), (2, 1), (3, 0)]
+
+
+def test_runs_that_overlap_in_time(spark, tmp_path):
+    """Two feeds at once, each with its own target and checkpoint."""
+    runs = []
+    for name, n in (("x", 4), ("y", 9)):
+        put(tmp_path / f"in-{name}", "a.jsonl", [EVENT] * n)
+        out, checkpoint = str(tmp_path / f"out-{name}"), str(tmp_path / f"cp-{name}")
+        known = sinklog.committed_files(spark, out, sinklog.last_commit(spark, checkpoint))
+        query = feed.start_ingest(feed.read_envelopes(spark, str(tmp_path / f"in-{name}")), out, checkpoint)
+        runs.append((query, out, known))
+    for query, _, _ in runs:
+        query.awaitTermination()
+    counts = [feed.records_written(spark, out, sinklog.files_since(spark, out, known)) for _, out, known in runs]
+    assert counts == [(4, 0), (9, 0)]
+
+
+def test_a_target_of_another_checkpoint_is_refused(spark, tmp_path):
+    """The sink would take the batch for a repetition and drop it."""
+    put(tmp_path / "in", "a.jsonl", [EVENT] * 2)
+    assert ingest(spark, tmp_path) == 2
+    with pytest.raises(ValueError, match="another checkpoint"):
+        feed.ingest(
+            feed.read_envelopes(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "new")
+        )
+
+
 @pytest.mark.parametrize(
     "instant",
     ["2026-03-08T02:30:00.000000", "2026-11-01T05:30:00.100000", "2026-11-01T06:30:00.123456",
