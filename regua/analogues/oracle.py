@@ -386,6 +386,7 @@ SELECT {_TARGET_KEYS}, meta_ano, gap_meta FROM gapped""",
 {joined("id_municipio")}, {compared("joined")}
 SELECT {_TARGET_KEYS}, meta_ano, gap_meta, status_meta FROM compared""",
     "latest_year": f"{CITY} SELECT ano, COUNT(*) AS n_rows FROM gold WHERE {LATEST} GROUP BY ano",
+    "latest_year_by_name": f"{CITY} SELECT * FROM gold WHERE {LATEST}",
     "filter_equals": f"""
 {CITY} SELECT ano, id_municipio, rede, gap_meta, status_meta FROM gold
 WHERE status_meta = 'ABAIXO_META'""",
@@ -453,6 +454,7 @@ FROM events WHERE event_type = 'error'""",
     "stream_empty_batch": """
 SELECT COUNT(*) AS reported_first, CAST(0 AS BIGINT) AS reported_second, COUNT(*) AS stored
 FROM events""",
+    "incremental_load": f"WITH {MICRO}, {GOLD_MICRO} SELECT *, '1-1-0' AS cargas_por_execucao FROM gold_micro",
     "gold_micro_city": f"WITH {MICRO}, {GOLD_MICRO} SELECT * FROM gold_micro",
     "gold_city": f"{CITY} SELECT * FROM gold",
     "gold_state": f"{STATE} SELECT * FROM gold",

@@ -18,10 +18,10 @@ from regua.analogues.views import CITY, CUT, LABELS, STATE, TARGET_YEARS
 from regua.functions.numeric import rate
 from regua.functions.ordering import ascending, descending
 from regua.operators import conform, quality, targets
-from regua.operators.latest import keep_latest
+from regua.operators.latest import keep_latest, keep_newest
 from regua.operators.ranking import top_k
 from regua.operators.rollup import rate_rollup
-from regua.plans import gold, reports
+from regua.plans import gold, incremental, reports
 from regua.schemas import ENTITIES, TARGET_PREFIX
 from regua.session import scratch_path
 from regua.sinks import catalog
@@ -347,6 +347,24 @@ def gold_micro_city(spark: SparkSession, sf: str) -> DataFrame:
     return gold.gold_micro(workspace.silver_micro(spark, sf), cut=CUT)
 
 
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Unit records that land in two loads and are taken in by three runs, the last of which finds nothing."""
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    raw, pupil = views.raw_micro(spark, sf), ENTITIES["aluno"]
+    second = F.col("ID_ALUNO").cast("bigint") % 3 == 0
+
+    def load() -> int:
+        conformed = lambda df: conform.conform_microdata(df, LABELS, CUT)
+        return len(incremental.load_entity(spark, bronze, silver, "aluno", conformed).loads)
+
+    land_delimited(raw.where(~second), bronze, pupil, "2024-01-15")
+    taken = [load()]
+    land_delimited(raw.where(second), bronze, pupil, "2024-02-15")
+    taken += [load(), load()]
+    rolled = gold.gold_micro(read_table(spark, f"{silver}/aluno"), cut=CUT)
+    return rolled.withColumn("cargas_por_execucao", F.lit("-".join(map(str, taken))))
+
+
 # --- filters, joins, aggregates, sorts ---------------------------------------
 
 
@@ -355,6 +373,12 @@ def latest_year(spark: SparkSession, sf: str) -> DataFrame:
     return latest.groupBy("ano").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def latest_year_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of the latest year, which is known from the names of folders."""
+    city = workspace.gold_city(spark, sf)
+    return keep_newest(spark, workspace.path_of(spark, sf, "indicador_municipio"), city.schema)
+
+
 def filter_equals(spark: SparkSession, sf: str) -> DataFrame:
     below = _gold(CITY)(spark, sf).where(F.col("status_meta") == targets.BELOW)
     return below.select("ano", CITY, "rede", "gap_meta", "status_meta")
@@ -605,6 +629,7 @@ QUERIES: dict[str, Query] = {
     "target_gap": target_gap,
     "target_status": target_status,
     "latest_year": latest_year,
+    "latest_year_by_name": latest_year_by_name,
     "filter_equals": filter_equals,
     "join_left_targets_city": _join_left_targets(CITY),
     "join_left_targets_state": _join_left_targets(STATE),
@@ -627,6 +652,7 @@ QUERIES: dict[str, Query] = {
     "stream_bad_records": stream_bad_records,
     "stream_empty_batch": stream_empty_batch,
     "gold_micro_city": gold_micro_city,
+    "incremental_load": incremental_load,
     "gold_city": _gold(CITY),
     "gold_state": _gold(STATE),
     "gold_national": gold_national,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +15,7 @@ from regua.schemas import (
     TARGET_YEARS,
     target_columns,
 )
-from regua.sinks.files import write_partitioned
+from regua.sinks.files import among, remove_partition, write_partitioned
 from regua.sources.tables import read_layer
 
 
@@ -57,11 +57,32 @@ def gold_national(national: DataFrame, years: Sequence[int] = TARGET_YEARS) -> D
     return compare_with_target(chosen, years)
 
 
+#: The conformed table whose rows each analytical table follows.
+FOLLOWED = {
+    "aluno_municipio": "aluno",
+    "indicador_municipio": "municipio",
+    "indicador_uf": "uf",
+    "indicador_brasil": "meta_brasil",
+}
+
+
 def build_gold(
-    spark: SparkSession, silver: str, gold: str, *, ids_unique: bool = False
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    *,
+    ids_unique: bool = False,
+    years: Collection[int | None] | None = None,
 ) -> None:
+    """Write the analytical tables, all years or only those named.
+
+    Every analytical row depends on conformed rows of its own year alone, so the named years
+    come out as in a full build. A year without rows is taken away.
+    """
+
     def read(name: str) -> DataFrame:
-        return read_layer(spark, silver, name)
+        table = read_layer(spark, silver, name)
+        return table if years is None else table.where(among(GOLD_PARTITIONS, {(y,) for y in years}))
 
     tables = {
         "aluno_municipio": gold_micro(read("aluno"), ids_unique=ids_unique),
@@ -74,3 +95,7 @@ def build_gold(
     for name, table in tables.items():
         path = f"{gold.rstrip('/')}/{name}"
         write_partitioned(table, path, GOLD_PARTITIONS, order=GOLD_ORDER.get(name, ()))
+        if years is not None:
+            present = {row.ano for row in read(FOLLOWED[name]).select("ano").distinct().collect()}
+            for year in set(years) - present:
+                remove_partition(spark, path, {"ano": year})

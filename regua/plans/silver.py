@@ -31,15 +31,19 @@ def build_silver(
     the default.
     """
     for name, entity in ENTITIES.items():
-        own = {
-            option: value[name] if isinstance(value, Mapping) else value
-            for option, value in reading.items()
-            if not isinstance(value, Mapping) or name in value
-        }
         write_partitioned(
-            conformed(spark, bronze, name, **own),
+            conformed(spark, bronze, name, **options_for(name, reading)),
             f"{silver.rstrip('/')}/{name}",
             entity.partitions,
             order=entity.order,
             gather=gather,
         )
+
+
+def options_for(name: str, reading: Mapping[str, object]) -> dict[str, object]:
+    """The reading options of one entity."""
+    return {
+        option: value[name] if isinstance(value, Mapping) else value
+        for option, value in reading.items()
+        if not isinstance(value, Mapping) or name in value
+    }

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from regua.schemas import LOAD_COLUMN, Entity
+from regua.sources.tables import names_in
+
+# Fixed value: the folder of a partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_partitioned(
@@ -49,3 +55,25 @@ def land_delimited(df: DataFrame, bronze: str, entity: Entity, load: str = "manu
         .options(header=True, sep=entity.sep, encoding=entity.encoding)
         .csv(f"{bronze.rstrip('/')}/{entity.name}/{LOAD_COLUMN}={load}")
     )
+
+
+def among(columns: Sequence[str], partitions: Collection[tuple]) -> Column:
+    """Whether a row is in one of the partitions (values of ``columns``, nulls included); prunes a scan."""
+    each = [
+        reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, own)))
+        for own in sorted(partitions, key=repr)
+    ]
+    return reduce(Column.__or__, each, F.lit(False))
+
+
+def remove_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> bool:
+    """Remove the folder of one partition, which dynamic overwriting cannot empty; False if there is none."""
+    folder = path.rstrip("/")
+    for column, value in values.items():
+        wanted = f"{column}={NO_VALUE if value is None else value}"
+        name = next((n for n in names_in(spark, folder) if unquote(n) == wanted), None)
+        if name is None:
+            return False
+        folder = f"{folder}/{name}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A Parquet table. A declared schema saves opening files while planning."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
