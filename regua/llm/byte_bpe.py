@@ -38,25 +38,29 @@ from regua.llm.pretokens import Split, compiled
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of words in one recursive query, steps after which it is resumed, tokens in one decoding query.
 WORD_BYTES, STEPS, DECODED = 400_000, 64, 400_000
-#: Words whose ids a worker remembers.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers (about 200 bytes each), parts of texts beside them.
+REMEMBERED, PARTS = 1_500_000, 800_000
 
 #: For words of up to SHORT bytes: one pair of a word in a step, the leftmost of the lowest rank.
+#: Rows carry the token behind them along, so that one sorted window serves a step.
 SHORT = 64
 LEFTMOST = """
-WITH RECURSIVE r(word, pos, tok, done) AS (
-    SELECT word, pos, tok, false FROM words
+WITH RECURSIVE r(word, pos, tok, after, done) AS (
+    SELECT word, pos, tok, after, false FROM words
     UNION ALL
-    SELECT word, pos, CASE WHEN key = lowest THEN (key // 1048576)::INT ELSE tok END, lowest IS NULL
+    SELECT word, pos, CASE WHEN key = lowest THEN (lowest // 1048576)::INT ELSE tok END,
+        CASE WHEN key = lowest THEN second WHEN beyond = lowest THEN (lowest // 1048576)::INT ELSE after END,
+        lowest IS NULL
     FROM (
         -- The rank leads the key and the position follows, so the smallest key is the pair to contract.
-        SELECT word, pos, tok, key, min(key) OVER (PARTITION BY word) AS lowest,
-            lag(key) OVER (PARTITION BY word ORDER BY pos) AS before
+        SELECT word, pos, tok, after, key,
+            min(key) OVER (line ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS lowest,
+            lag(key) OVER line AS before, lead(key) OVER line AS beyond, lead(after) OVER line AS second
         FROM (
-            SELECT word, pos, tok, merged::BIGINT * 1048576 + pos AS key
-            FROM (SELECT word, pos, tok, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS after
-                  FROM r WHERE NOT done)
-            LEFT JOIN merges ON pair = tok::BIGINT * 4294967296 + after))
+            SELECT word, pos, tok, after, merged::BIGINT * 1048576 + pos AS key
+            FROM (SELECT * FROM r WHERE NOT done)
+            LEFT JOIN merges ON pair = tok::BIGINT * 4294967296 + after)
+        WINDOW line AS (PARTITION BY word ORDER BY pos))
     WHERE lowest IS NULL OR before IS DISTINCT FROM lowest)
 SELECT word, pos, tok, done FROM r WHERE done ORDER BY word, pos
 """
@@ -136,7 +140,7 @@ class Codec:
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pattern = compiled()
         self.packed: dict[str, bytes] = {}
-        self.split = Split(self._stretches)
+        self.split = Split(self._stretches, PARTS)
         self.sql = duckdb.connect(
             config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""}
         )
@@ -158,11 +162,16 @@ class Codec:
         sizes = np.array([len(w) for w in words])
         starts = np.cumsum(sizes) - sizes
         data = np.frombuffer(b"".join(words), np.uint8)
+        tokens = self.of_byte[data]
+        # The last byte of a word has nothing behind it.
+        last = np.zeros(len(data), bool)
+        last[starts + sizes - 1] = True
         rows = pa.table(
             {
                 "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
                 "pos": (np.arange(len(data)) - np.repeat(starts, sizes)).astype(np.int32),
-                "tok": self.of_byte[data],
+                "tok": tokens,
+                "after": pa.array(np.append(tokens[1:], 0).astype(np.int32), mask=last),
             }
         )
         out = [b""] * len(words)
