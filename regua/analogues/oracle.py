@@ -386,6 +386,17 @@ SELECT {_TARGET_KEYS}, meta_ano, gap_meta FROM gapped""",
 {joined("id_municipio")}, {compared("joined")}
 SELECT {_TARGET_KEYS}, meta_ano, gap_meta, status_meta FROM compared""",
     "latest_year": f"{CITY} SELECT ano, COUNT(*) AS n_rows FROM gold WHERE {LATEST} GROUP BY ano",
+    "questions_in_catalog": f"""
+{CITY}, below AS (
+    SELECT {CITY_VIEW}, serie FROM gold WHERE status_meta = 'ABAIXO_META'
+), q01 AS (
+    SELECT {CITY_VIEW} FROM below WHERE {LATEST} ORDER BY gap_meta ASC NULLS LAST, {CITY_TIES} LIMIT 30
+), q05 AS (
+    SELECT {CITY_VIEW} FROM below ORDER BY gap_meta ASC NULLS LAST, {CITY_TIES} LIMIT 20
+)
+SELECT 'q01' AS pergunta, * FROM q01
+UNION ALL SELECT 'q02', {CITY_VIEW} FROM gold WHERE id_municipio = {FOLLOWED_CITY}
+UNION ALL SELECT 'q05', * FROM q05""",
     "latest_year_by_name": f"{CITY} SELECT * FROM gold WHERE {LATEST}",
     "filter_equals": f"""
 {CITY} SELECT ano, id_municipio, rede, gap_meta, status_meta FROM gold

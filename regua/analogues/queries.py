@@ -26,6 +26,7 @@ from regua.schemas import ENTITIES, TARGET_PREFIX
 from regua.session import scratch_path
 from regua.sinks import catalog
 from regua.sinks.files import land_delimited, write_partitioned
+from regua.sinks.questions import register_questions
 from regua.sources.delimited import read_entity
 from regua.sources.tables import read_table, scan_catalog
 from regua.streaming import feed
@@ -118,8 +119,8 @@ def _gold_columns(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema if f.name != "ano"}
 
 
-def catalog_table_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Database, external tables and partitions over the stored layer, then a scan."""
+def _gold_database(spark: SparkSession, sf: str) -> tuple[str, list[str]]:
+    """A database with the four analytical tables, and their names."""
     stored = {
         "indicador_municipio": workspace.gold_city(spark, sf),
         "indicador_uf": workspace.gold_state(spark, sf),
@@ -133,6 +134,12 @@ def catalog_table_scan(spark: SparkSession, sf: str) -> DataFrame:
         location = workspace.path_of(spark, sf, name)
         catalog.create_external_table(spark, table, _gold_columns(df), location)
         catalog.repair_partitions(spark, table)
+    return database, list(stored)
+
+
+def catalog_table_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Database, external tables and partitions over the stored layer, then a scan."""
+    database, stored = _gold_database(spark, sf)
     shown = []
     for name in stored:
         df = scan_catalog(spark, database, f"gold_{name}")
@@ -169,6 +176,20 @@ def catalog_repair_partitions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def questions_in_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Three of the SQL table functions, with arguments of their own."""
+    database, _ = _gold_database(spark, sf)
+    register_questions(spark, database, CUT)
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"USE {database}")
+    try:
+        calls = ("q01_abaixo_da_meta(30)", f"q02_historico({FOLLOWED_CITY})", "q05_maiores_gaps()")
+        asked = [spark.sql(f"SELECT '{call[:3]}' AS pergunta, * FROM {call}") for call in calls]
+    finally:
+        spark.sql(f"USE {before}")
+    return reduce(DataFrame.unionAll, asked)
+
+
 def _fresh_name(spark: SparkSession, prefix: str) -> str:
     return f"{prefix}_{scratch_path(spark, '').split('/')[-2]}"
 
@@ -614,6 +635,7 @@ QUERIES: dict[str, Query] = {
     "parquet_scan_pushed_filter": parquet_scan_pushed_filter,
     "catalog_table_scan": catalog_table_scan,
     "catalog_repair_partitions": catalog_repair_partitions,
+    "questions_in_catalog": questions_in_catalog,
     "parquet_partitioned_write": parquet_partitioned_write,
     "parquet_two_level_write": parquet_two_level_write,
     "dynamic_partition_overwrite": dynamic_partition_overwrite,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Decimals kept before rounding, by size of the value: some fifteen digits in all,
 # coarser than the noise of a double and finer than any rounding asked for.
-_KEPT = ((1e3, 12), (1e6, 9), (1e9, 6))
+KEPT = ((1e3, 12), (1e6, 9), (1e9, 6))
 
 
 def safe_round(value: Column, digits: int) -> Column:
@@ -22,7 +22,7 @@ def safe_round(value: Column, digits: int) -> Column:
     value = value.cast("double")
     kept = [
         (F.abs(value) < limit, F.round(value.try_cast(T.DecimalType(38, scale)), digits).cast("double"))
-        for limit, scale in _KEPT
+        for limit, scale in KEPT
     ]
     (first, rounded), *others = kept
     found = F.when(first, rounded)
