@@ -465,6 +465,7 @@ FROM events WHERE event_type = 'error'""",
     "stream_empty_batch": """
 SELECT COUNT(*) AS reported_first, CAST(0 AS BIGINT) AS reported_second, COUNT(*) AS stored
 FROM events""",
+    "stream_redelivery": "SELECT event_id, event_type, CAST(0 AS BIGINT) AS stored_again FROM events",
     "incremental_load": f"WITH {MICRO}, {GOLD_MICRO} SELECT *, '1-1-0' AS cargas_por_execucao FROM gold_micro",
     "gold_micro_city": f"WITH {MICRO}, {GOLD_MICRO} SELECT * FROM gold_micro",
     "gold_city": f"{CITY} SELECT * FROM gold",

@@ -596,6 +596,20 @@ def stream_empty_batch(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event is delivered twice, half of the copies in a later run, and stored once."""
+    source = _land_feed(spark, sf)
+    target, checkpoint = scratch_path(spark, "eventos"), scratch_path(spark, "checkpoint")
+    once = {"once_within": "24 hours", "key": ("event_id",)}
+    envelopes = spark.read.schema(feed.ENVELOPE).json(source)
+    envelopes.where(F.xxhash64("kinesis.data") % 2 == 0).write.mode("append").json(source)
+    feed.ingest(feed.read_envelopes(spark, source), target, checkpoint, FEED_FIELDS, **once)
+    envelopes.where(F.xxhash64("kinesis.data") % 2 != 0).dropDuplicates().write.mode("append").json(source)
+    second = feed.ingest(feed.read_envelopes(spark, source), target, checkpoint, FEED_FIELDS, **once).total
+    stored = feed.read_events(spark, target, fields=FEED_FIELDS)
+    return stored.select("event_id", "event_type", F.lit(second).cast("bigint").alias("stored_again"))
+
+
 # --- the twelve questions ----------------------------------------------------
 
 
@@ -673,6 +687,7 @@ QUERIES: dict[str, Query] = {
     "stream_envelope_ingest": stream_envelope_ingest,
     "stream_bad_records": stream_bad_records,
     "stream_empty_batch": stream_empty_batch,
+    "stream_redelivery": stream_redelivery,
     "gold_micro_city": gold_micro_city,
     "incremental_load": incremental_load,
     "gold_city": _gold(CITY),

@@ -9,6 +9,7 @@ the files that the sink committed (:mod:`regua.streaming.sinklog`); no clock is
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -124,21 +125,55 @@ def decode_events(
     )
 
 
+def first_deliveries(events: DataFrame, within: str, key: Sequence[str] = ()) -> DataFrame:
+    """Decoded events of a stream, each stored once however often a source delivers it.
+
+    A copy is an event of the same text, valid or not, or of the same ``key`` fields; events
+    without any of these are copies by their text. The state holds a digest of each key from its
+    arrival until the watermark, ``within`` behind the last arrival, has passed that time by
+    ``within``; a copy that comes later than that is a new event. So the state holds the
+    events of about twice ``within``, whatever the stream has seen before. Arrival is the start of
+    the batch, which does not depend on clocks of producers.
+    """
+    text = F.coalesce("payload", "rejected", F.lit(""))
+    given = F.to_json(F.struct(*key)) if key else F.lit(None)
+    whole = [F.col(name).isNotNull() for name in key]
+    named = F.when(reduce(Column.__and__, whole, F.lit(bool(key))), given)
+    marked = events.withColumns(
+        {
+            "_copia": F.sha2(F.concat_ws("\n", STATE_COLUMN, F.coalesce(named, text)).cast("binary"), 256),
+            "_chegada": F.current_timestamp(),
+        }
+    )
+    return (
+        marked.withWatermark("_chegada", within)
+        .dropDuplicatesWithinWatermark(["_copia"])
+        .drop("_copia", "_chegada")
+    )
+
+
 def start_ingest(
     envelopes: DataFrame,
     target: str,
     checkpoint: str,
     fields: Mapping[str, str] = EVENT_FIELDS,
+    once_within: str | None = None,
+    key: Sequence[str] = (),
     **trigger,
 ) -> StreamingQuery:
     """Append events below ``target`` by state and ingestion day.
 
     The day gets a column of its own: a folder named after a payload field
     would overwrite that field when the files are read back.
+
+    ``once_within`` (as in ``"24 hours"``) leaves out redelivered events, see
+    ``first_deliveries``. A checkpoint belongs to one choice of it.
     """
+    events = decode_events(envelopes, fields)
+    if once_within is not None:
+        events = first_deliveries(events, once_within, key)
     return (
-        decode_events(envelopes, fields)
-        .writeStream.format("json")
+        events.writeStream.format("json")
         .partitionBy(STATE_COLUMN, DAY_COLUMN)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
@@ -193,6 +228,8 @@ def ingest(
     target: str,
     checkpoint: str,
     fields: Mapping[str, str] = EVENT_FIELDS,
+    once_within: str | None = None,
+    key: Sequence[str] = (),
     **trigger,
 ) -> Written:
     """Run until all available events are stored, and say how many were.
@@ -204,7 +241,7 @@ def ingest(
     spark = envelopes.sparkSession
     refuse_foreign(spark, target, checkpoint)
     known = committed_files(spark, target, last_commit(spark, checkpoint))
-    start_ingest(envelopes, target, checkpoint, fields, **trigger).awaitTermination()
+    start_ingest(envelopes, target, checkpoint, fields, once_within, key, **trigger).awaitTermination()
     return records_written(spark, target, files_since(spark, target, known))
 
 

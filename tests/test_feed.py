@@ -2,6 +2,7 @@ import base64
 import json
 import math
 import re
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -212,6 +213,57 @@ def test_runs_that_overlap_in_time(spark, tmp_path):
     assert counts == [(4, 0), (9, 0)]
 
 
+def once(spark, tmp_path, within="1 hour", key=()):
+    envelopes = feed.read_envelopes(spark, str(tmp_path / "in"), 1)
+    return feed.ingest(envelopes, str(tmp_path / "out"), str(tmp_path / "checkpoint"), once_within=within, key=key)
+
+
+def test_redelivered_events_are_stored_once(spark, tmp_path):
+    other = {**EVENT, "ano": 2023}
+    put(tmp_path / "in", "a.jsonl", [EVENT, EVENT, other, "cut", "cut", ("!!!",), (None,), (None,)])
+    # Valid: two; invalid: the cut text, the bad encoding, nothing at all.
+    assert once(spark, tmp_path) == (2, 3)
+    put(tmp_path / "in", "b.jsonl", [EVENT, other, "cut", {**EVENT, "ano": 2022}])
+    assert once(spark, tmp_path) == (1, 0)
+    assert sorted(r.ano for r in stored(spark, tmp_path)) == [2022, 2023, 2024]
+    assert once(spark, tmp_path) == (0, 0)
+
+
+def test_redelivered_by_key(spark, tmp_path):
+    key = ("id_municipio", "event_ts")
+    put(tmp_path / "in", "a.jsonl", [EVENT, {**EVENT, "fonte": "again"}, {**EVENT, "id_municipio": 1}])
+    # Without a key field, the text decides.
+    put(tmp_path / "in", "b.jsonl", ['{"ano": 1}', '{"ano": 1}', '{"ano": 2}', {**EVENT, "fonte": "once more"}])
+    assert once(spark, tmp_path, key=key) == (4, 0)
+
+
+def test_copies_behind_the_watermark_are_new_and_the_state_is_bounded(spark, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        put(tmp_path / "in", "a.jsonl", [EVENT])
+        assert once(spark, tmp_path, "1 second") == (1, 0)
+        for k in range(2):
+            time.sleep(2.5)
+            put(tmp_path / "in", f"later-{k}.jsonl", [{**EVENT, "ano": k}])
+            assert once(spark, tmp_path, "1 second") == (1, 0)
+        put(tmp_path / "in", "z.jsonl", [EVENT])
+        assert once(spark, tmp_path, "1 second") == (1, 0)
+        state = spark.read.format("statestore").load(str(tmp_path / "checkpoint"))
+        assert state.count() <= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_crash_with_state_repeats_nothing(spark, tmp_path):
+    put(tmp_path / "in", "a.jsonl", [EVENT] * 3)
+    assert once(spark, tmp_path) == (1, 0)
+    last = sinklog.last_commit(spark, str(tmp_path / "checkpoint"))
+    for batch in range(last, -1, -1):
+        crash(tmp_path, batch, in_sink=False)
+    assert once(spark, tmp_path) == (1, 0)
+    assert len(stored(spark, tmp_path)) == 1
+
+
 def test_a_target_of_another_checkpoint_is_refused(spark, tmp_path):
     """The sink would take the batch for a repetition and drop it."""
     put(tmp_path / "in", "a.jsonl", [EVENT] * 2)
