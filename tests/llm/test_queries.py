@@ -1,7 +1,11 @@
 """Every registered query against its definition on awkward rows, and against SQL where there is some."""
 
+import zlib
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -210,3 +214,23 @@ def test_pipeline_runs(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
 
 
+@pytest.mark.parametrize("name, modulus, remainder", [("op1_lm_scoring", 7, 2), ("op6_language", 3, 1), ("op10_quality", 5, 0)])
+def test_held_out(spark, awkward, name, modulus, remainder):
+    folder, docs, _ = awkward
+    expected = [(d, d is not None and zlib.crc32(str(d).encode()) % modulus == remainder) for d, _ in docs]
+    same(rows(spark, name, folder, "doc_id", "held_out"), expected)
+
+
+def test_held_out_labels_reach_no_score(spark, tmp_path):
+    """Quality labels and languages of held-out documents are turned around; every score stays."""
+    docs = pq.read_table(f"{SF}/documents.parquet")
+    labels = pq.read_table(f"{SF}/labels.parquet")
+    out = lambda ids, m, r: np.array([zlib.crc32(str(i).encode()) % m == r for i in ids.to_pylist()])
+    lang = np.where(out(docs["doc_id"], 3, 1), "xx", np.array(docs["lang"].to_pylist(), object))
+    quality = labels["quality"].to_numpy()
+    quality = np.where(out(labels["doc_id"], 5, 0), 1 - quality, quality)
+    pq.write_table(docs.set_column(docs.column_names.index("lang"), "lang", pa.array(lang, pa.string())), tmp_path / "documents.parquet")
+    turned = pa.array(quality, labels.schema.field("quality").type)
+    pq.write_table(labels.set_column(labels.column_names.index("quality"), "quality", turned), tmp_path / "labels.parquet")
+    for name in ("op6_language", "op10_quality"):
+        assert rows(spark, name, str(tmp_path)) == rows(spark, name, SF)
