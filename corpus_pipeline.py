@@ -1,4 +1,11 @@
-"""From raw documents to token ids: five stages, each on all that the one before kept."""
+"""From raw documents to token ids: five stages, each on all that the one before kept.
+
+Defined results: a null text is scored as an empty one, equals empty texts in both
+deduplications, holds no test item and has no tokens; rows without an id lose every tie for the row
+that stays, and one of them stays where there is no other; repeated rows are copies of each
+other; empty tables give no rows (without labels every document has one score); columns beyond those of
+documents are kept up to the last stage, which returns ids and digests beside doc_id.
+"""
 
 from __future__ import annotations
 
