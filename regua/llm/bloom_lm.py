@@ -1,4 +1,4 @@
-"""Language-model scoring with a log-frequency Bloom filter.
+"""Language-model scoring with a log-frequency Bloom filter that is broadcast to the workers.
 
 Counts of n-grams are quantised to levels: level j stands for counts from
 ``BASE**(j - 1)`` up to the next level, so a count of one is level 1, and an
@@ -6,19 +6,21 @@ n-gram of level j is put into a Bloom filter with each of the numbers 1 to j. A
 1, 2 and so on until one is missing. It is never too low, and too high only by
 false hits.
 
-The filter is cut by bucket of keys. A bucket gets the n-grams of all slices,
-training and held out, adds up the training counts, makes its segment of bits
-and asks it for each n-gram it got; the levels go back to the slices. No place
-holds more than one segment, so every entry has the same bits at every size.
+The filter holds the n-grams of the training documents alone and is cut into
+segments by key, each with ``BITS_PER_ENTRY`` bits for an entry, so it answers alike at every
+size of the corpus. Segments travel as plain rows (segment, key, count), summed over several
+slices before the shuffle. They are then broadcast in passes: a pass is a run of segments of at most
+``pass_bytes``, measured before anything is gathered, and probes the keys of every slice that fall
+into it. The keys of a slice are stored once, by range of segments, so a pass reads no others. The levels of all
+passes come together again slice by slice. Scores do not hang on the number of passes.
 
-The model: p(w | h) = (count(h w) + MU * p0(w)) / (count(h) + MU), with counts
-from the filter, at most 1, and p0 the add-one unigram probability that also
-makes ``base_score``. A text starts behind an end token and ends with one.
+The model: p_1(w) is the add-one unigram probability that also makes ``base_score``, and
+p_k(w | h) = (count(h w) + MU * p_{k-1}) / (count(h) + MU) for the k - 1 tokens h before w, at most 1,
+up to ``order`` (2; 3 and more are possible), with counts from the filter. A text starts behind an end token and
+ends with one; further back nothing stands, so its first tokens use the shorter n-grams alone.
 
-All counts are over all training documents. Words are counted by slice first,
-then by bucket of their hash; each slice gets the counts of its own words back,
-so no vocabulary has to fit into one place. A segment has ``BITS_PER_ENTRY`` bits
-for each entry, whatever the size of the corpus.
+Word counts are exact: rows (word, slice, count) are summed by word and joined back, so
+no vocabulary has to fit into one place.
 
 Defined results: a null or empty text is one end token; documents without an id
 are training documents; without training tokens every base probability is 1 and
@@ -35,25 +37,25 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from regua.llm.common import ship, store
-from regua.llm.slices import open_slice, pack, pack_array, slices, split_words, unpack, unpack_array
+from regua.llm.slices import open_slice, pack_array, slices, split_words, unpack_array
 
-BASE, MU = 1.5, 1000.0
+BASE, MU, ORDER = 1.5, 1000.0, 2
 BITS_PER_ENTRY, HASHES = 10, 5
 #: No count that fits into 64 bits has a higher level.
 TOP = 128
-#: Bytes of text for each bucket of words and of n-grams.
-WORD_BUCKET, GRAM_BUCKET = 64 << 20, 8 << 20
-KEY_BITS = 48
+#: Bytes of the filter that are broadcast at once.
+PASS_BYTES = 256 << 20
+#: Segments in each range of keys; a range has about as many bytes as a pass.
+SEGMENTS = 64
+#: Slices whose n-grams are added up before they are shuffled.
+MERGED = 8
+KEY_BITS = 56
 #: Stands for the end of a text; no word is empty.
 END = ""
 
-BLOCKS = "bucket long, slice long, block binary"
-#: Kinds of answers.
-WORDS, GRAMS = 0, 1
-
 
 def held_out_id(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
@@ -85,13 +87,20 @@ class Tokens:
         """Which tokens are of training documents."""
         return np.repeat(~self.held_out, self.sizes)
 
-    def bigrams(self) -> np.ndarray:
-        """Key of each token with the one before it; a text starts behind an end."""
+    def ngrams(self, order: int) -> Iterator[np.ndarray]:
+        """Keys of each token with those before it, for 2 to ``order`` tokens; a text starts behind an end."""
         codes = self.codes[self.ids]
-        before = np.empty_like(codes)
-        before[1:] = codes[:-1]
-        before[self.cuts[:-1]] = self.codes[0]
-        return mixed(before * np.uint64(0x9E3779B97F4A7C15) + codes, 2)
+        chain = codes
+        for k in range(2, order + 1):
+            before = np.empty_like(codes)
+            before[1:] = chain[:-1]
+            before[self.cuts[:-1]] = self.codes[0]
+            chain = before * np.uint64(0x9E3779B97F4A7C15) + codes
+            yield mixed(chain, k)
+
+    def place(self) -> np.ndarray:
+        """How many tokens of its document stand before each token."""
+        return np.arange(len(self.ids)) - np.repeat(self.cuts[:-1], self.sizes)
 
     def unigrams(self) -> np.ndarray:
         """Key of each name of the dictionary."""
@@ -120,170 +129,192 @@ def count_of(level: np.ndarray) -> np.ndarray:
 # --- counting ---------------------------------------------------------------
 
 
-def _each_slice(rows: DataFrame, work, schema: str) -> DataFrame:
+def word_rows(rows: DataFrame) -> DataFrame:
+    """Stored rows (slice, at, name, n): the names of each slice in its order, with training counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                yield work(number, payload.as_py())
-
-    return rows.select("slice", "payload").mapInArrow(run, schema)
-
-
-def _block_rows(buckets: list[int], number: int, blocks: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(buckets, pa.int64()),
-            pa.array([number] * len(buckets), pa.int64()),
-            pa.array(blocks, pa.binary()),
-        ],
-        names=["bucket", "slice", "block"],
-    )
+                own = Tokens(payload.as_py())
+                size = len(own.names)
+                counts = np.bincount(own.ids[own.training()], minlength=size)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(size, number, np.int64)),
+                        pa.array(np.arange(size, dtype=np.int64)),
+                        own.names,
+                        pa.array(counts.astype(np.int64)),
+                    ],
+                    names=["slice", "at", "name", "n"],
+                )
 
+    found = rows.select("slice", "payload").mapInArrow(run, "slice long, at long, name string, n long")
+    return store(found, "words")
 
-def word_buckets(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that puts names by bucket, and where each bucket begins."""
-    bucket = (codes % np.uint64(n)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(n + 1))
-
-
-def word_counts(rows: DataFrame, n: int) -> DataFrame:
-    """Stored blocks (bucket, slice, block, tokens, distinct): counts of the words a slice sent to a bucket, in its order."""
-
-    def send(number: int, payload: bytes) -> pa.RecordBatch:
-        own = Tokens(payload)
-        counts = np.bincount(own.ids[own.training()], minlength=len(own.names))
-        order, cuts = word_buckets(own.codes, n)
-        buckets, blocks = [], []
-        for bucket, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
-            if b > a:
-                at = order[a:b]
-                block = pa.table({"name": own.names.take(pa.array(at)), "n": counts[at]})
-                buckets.append(bucket)
-                blocks.append(pack(block))
-        return _block_rows(buckets, number, blocks)
-
-    def total(group: pa.Table) -> pa.Table:
-        blocks = [unpack(b) for b in group.column("block").to_pylist()]
-        names = pa.chunked_array([c for t in blocks for c in t.column("name").chunks], pa.string())
-        coded = names.combine_chunks().dictionary_encode()
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        given = np.concatenate([t.column("n").to_numpy() for t in blocks])
-        counts = np.bincount(at, given, len(coded.dictionary)).astype(np.int64)
-        cuts = np.cumsum([0] + [t.num_rows for t in blocks]).tolist()
-        answers = [pack_array(counts[at[a:b]]) for a, b in zip(cuts, cuts[1:])]
-        # The sums of the bucket go with its first block.
-        first = [1] + [0] * (len(blocks) - 1)
-        return pa.table(
-            {
-                "bucket": group.column("bucket"),
-                "slice": group.column("slice"),
-                "block": pa.array(answers, pa.binary()),
-                "tokens": pa.array([int(counts.sum()) * f for f in first], pa.int64()),
-                "distinct": pa.array([int((counts > 0).sum()) * f for f in first], pa.int64()),
-            }
-        )
 
-    blocks = _each_slice(rows, send, BLOCKS)
-    return store(
-        blocks.groupBy("bucket").applyInArrow(total, BLOCKS + ", tokens long, distinct long"), "word_counts"
-    )
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    """Segment of each key; keys in order have segments in order."""
+    return ((keys >> np.uint64(24)) * np.uint64(segments) >> np.uint64(KEY_BITS - 24)).astype(np.int64)
 
 
 class Grams:
-    """The n-grams of a slice: their keys in order, training counts, and where the keys of each bucket begin."""
+    """The n-grams of a slice: their keys in order, training counts, and where those of names and tokens stand."""
 
-    def __init__(self, own: Tokens, n: int):
+    def __init__(self, own: Tokens, order: int = ORDER):
         training = own.training()
-        self.of_names, self.of_tokens = own.unigrams(), own.bigrams()
-        pairs, at = np.unique(self.of_tokens, return_inverse=True)
-        keys = np.concatenate((pairs, self.of_names))
-        counts = np.concatenate(
-            (np.bincount(at[training], minlength=len(pairs)), np.bincount(own.ids[training], minlength=len(own.names)))
-        )
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.counts = keys[order], counts[order].astype(np.uint32)
-        # Where the keys of pairs and of names have gone to.
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        self.names, self.tokens = place[len(pairs) :], place[at]
-        bucket = ((self.keys >> np.uint64(16)) * np.uint64(n) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
-        self.cuts = np.searchsorted(bucket, np.arange(n + 1))
-
-
-def filtered(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """What the filter of these counts answers for each of the keys, which may stand there repeatedly."""
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    first = np.flatnonzero(np.diff(ranked, prepend=~ranked[:1]))
-    distinct = ranked[first]
-    sums = np.add.reduceat(counts[order].astype(np.int64), first)
-    level = np.zeros(len(distinct), np.int64)
-    level[sums > 0] = 1 + levels(sums[sums > 0])
-    bits = segment(distinct[level > 0], level[level > 0], BITS_PER_ENTRY)
-    found = Filter({0: bits}, 1).level(distinct).astype(np.uint8)
-    out = np.empty(len(keys), np.uint8)
-    out[order] = np.repeat(found, np.diff(first, append=len(keys)))
-    return out
-
-
-def gram_levels(rows: DataFrame, n: int) -> DataFrame:
-    """Stored blocks (bucket, slice, block): levels of the n-grams a slice sent to a bucket, in its order."""
+        keys, counts, places = [own.unigrams()], [np.bincount(own.ids[training], minlength=len(own.names))], [None]
+        for of_tokens in own.ngrams(order):
+            distinct, at = np.unique(of_tokens, return_inverse=True)
+            keys.append(distinct)
+            counts.append(np.bincount(at[training], minlength=len(distinct)))
+            places.append(at)
+        begin = np.cumsum([0] + [len(k) for k in keys])
+        whole = np.concatenate(keys)
+        order_of = np.argsort(whole, kind="stable")
+        self.keys, self.counts = whole[order_of], np.concatenate(counts)[order_of].astype(np.int64)
+        place = np.empty_like(order_of)
+        place[order_of] = np.arange(len(order_of))
+        self.names = place[: begin[1]]
+        self.tokens = [place[b + at] for b, at in zip(begin[1:], places[1:])]
+
+
+def gram_blocks(rows: DataFrame, order: int, ranges: int) -> DataFrame:
+    """Stored blocks (slice, keys, counts, range): the n-grams of a slice in each range of segments, in its order."""
+    segments = ranges * SEGMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = Grams(Tokens(payload.as_py()), n)
-                buckets, keys, counts = [], [], []
-                for at, (a, b) in enumerate(zip(own.cuts.tolist(), own.cuts[1:].tolist())):
-                    if b > a:
-                        buckets.append(at)
-                        keys.append(pack_array(np.diff(own.keys[a:b], prepend=np.uint64(0))))
-                        counts.append(pack_array(own.counts[a:b]))
+                own = Grams(Tokens(payload.as_py()), order)
+                ranked = segment_of(own.keys, segments) // SEGMENTS
+                begin = np.flatnonzero(np.diff(ranked, prepend=-1))
+                cuts = [*begin.tolist(), len(ranked)]
+                parts = list(zip(cuts, cuts[1:]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(buckets, pa.int64()),
-                        pa.array([number] * len(buckets), pa.int64()),
-                        pa.array(keys, pa.binary()),
-                        pa.array(counts, pa.binary()),
+                        pa.array([number] * len(parts), pa.int64()),
+                        pa.array([pack_array(np.diff(own.keys[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()),
+                        pa.array([pack_array(own.counts[a:b]) for a, b in parts], pa.binary()),
+                        pa.array(ranked[begin], pa.int64()),
                     ],
-                    names=["bucket", "slice", "keys", "counts"],
+                    names=["slice", "keys", "counts", "range"],
                 )
 
-    def answer(group: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unpack_array(k, "u8"), dtype=np.uint64) for k in group.column("keys").to_pylist()]
-        counts = [unpack_array(c, "u4") for c in group.column("counts").to_pylist()]
-        cuts = np.cumsum([0] + [len(k) for k in keys]).tolist()
-        level = filtered(np.concatenate(keys), np.concatenate(counts))
-        return pa.table(
-            {
-                "bucket": group.column("bucket"),
-                "slice": group.column("slice"),
-                "block": pa.array([pack_array(level[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            }
+    sent = rows.select("slice", "payload").mapInArrow(run, "slice long, keys binary, counts binary, range long")
+    if ranges > 1:
+        # A range then has a few files, however many slices there are.
+        sent = sent.repartition("range", F.pmod(F.xxhash64("slice"), F.lit(16)))
+    return store(sent, "grams", "range")
+
+
+def _keys(block: bytes) -> np.ndarray:
+    return np.cumsum(unpack_array(block, "u8"), dtype=np.uint64)
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the counts of each."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    first = np.flatnonzero(np.diff(ranked, prepend=~ranked[:1]))
+    return ranked[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+
+
+def filter_segments(blocks: DataFrame, segments: int) -> DataFrame:
+    """Stored rows (segment, size, bits): the filter of the training counts, cut by key."""
+
+    def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = summed(np.concatenate(keys), np.concatenate(counts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(segment_of(key, segments)), pa.array(key.astype(np.int64)), pa.array(n)],
+            names=["segment", "key", "n"],
         )
 
-    sent = rows.select("slice", "payload").mapInArrow(run, "bucket long, slice long, keys binary, counts binary")
-    return store(sent.groupBy("bucket").applyInArrow(answer, BLOCKS), "gram_levels")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [], []
+        for batch in batches:
+            for key, n in zip(batch.column(0), batch.column(1)):
+                key, n = _keys(key.as_py()), unpack_array(n.as_py(), "i8")
+                keys.append(key[n > 0])
+                counts.append(n[n > 0])
+                if len(keys) == MERGED:
+                    yield merged(keys, counts)
+                    keys, counts = [], []
+        if keys:
+            yield merged(keys, counts)
+
+    def build(group: pa.Table) -> pa.Table:
+        key, n = summed(group.column("key").to_numpy().astype(np.uint64), group.column("n").to_numpy())
+        bits = segment(key, 1 + levels(n), BITS_PER_ENTRY)
+        return pa.table({"segment": group.column("segment")[:1], "size": [len(bits)], "bits": pa.array([bits], pa.binary())})
+
+    sent = blocks.select("keys", "counts").mapInArrow(run, "segment long, key long, n long")
+    return store(sent.groupBy("segment").applyInArrow(build, "segment long, size long, bits binary"), "filter")
+
+
+def passes(sizes: list[int], limit: int) -> list[tuple[int, int]]:
+    """Runs of segments of one range, each of at most ``limit`` bytes (or of one segment)."""
+    out, begin, held = [], 0, 0
+    for at, size in enumerate(sizes):
+        if at > begin and held + size > limit:
+            out.append((begin, at))
+            begin, held = at, 0
+        held += size
+    return [*out, (begin, len(sizes))]
+
+
+def gram_levels(blocks: DataFrame, held: DataFrame, ranges: int, pass_bytes: int) -> list[DataFrame]:
+    """Stored blocks (slice, a, b, block) of each pass: levels of the n-grams of a slice in segments a to b."""
+    spark = blocks.sparkSession
+    segments = ranges * SEGMENTS
+    out = []
+    for at in range(ranges):
+        base = at * SEGMENTS
+        # SEGMENTS rows of a range at most.
+        own = held.where(F.col("segment").between(base, base + SEGMENTS - 1))
+        known = {r.segment - base: r.size for r in own.select("segment", "size").collect()}
+        for a, b in passes([known.get(k, 0) for k in range(SEGMENTS)], pass_bytes):
+            chosen = own.where(F.col("segment").between(base + a, base + b - 1)).select("segment", "bits").collect()
+            sent = spark.sparkContext.broadcast(Filter({r.segment: bytes(r.bits) for r in chosen}, segments, base + a, base + b))
+            part = blocks.where(F.col("range") == at).select("slice", "keys")
+            out.append(store(part.mapInArrow(_prober(sent, base + a, base + b, segments), "slice long, a long, b long, block binary"), "levels"))
+            sent.unpersist()
+    return out
+
+
+def _prober(sent, a: int, b: int, segments: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for block in batch.column(1):
+                keys = _keys(block.as_py())
+                begin, end = np.searchsorted(segment_of(keys, segments), [a, b])
+                found.append(pack_array(sent.value.level(keys[begin:end]).astype(np.uint8)))
+            size = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([a] * size, pa.int64()), pa.array([b] * size, pa.int64()), pa.array(found, pa.binary())],
+                names=["slice", "a", "b", "block"],
+            )
+
+    return run
 
 
 # --- the filter -------------------------------------------------------------
 
 
 class Filter:
-    """Segments of bits, one for each bucket of keys, in one array."""
+    """Segments ``a`` to ``b`` of ``n``, in one array of bits."""
 
-    def __init__(self, segments: dict[int, bytes], n: int):
-        self.n = n
-        sizes = [len(segments.get(b, b"")) for b in range(n)]
-        self.begin = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64) * 8
-        self.size = np.array(sizes, np.int64) * 8
-        self.bits = np.frombuffer(b"".join(segments.get(b, b"") for b in range(n)) or b"\0", np.uint8)
+    def __init__(self, segments: dict[int, bytes], n: int, a: int = 0, b: int | None = None):
+        self.n, self.a = n, a
+        held = [segments.get(k, b"") for k in range(a, n if b is None else b)]
+        sizes = np.array([len(s) for s in held], np.int64) * 8
+        self.begin, self.size = np.cumsum(sizes) - sizes, sizes
+        self.bits = np.frombuffer(b"".join(held) or b"\0", np.uint8)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key, by asking for one level after another."""
         found = np.zeros(len(keys), np.int64)
-        bucket = ((keys >> np.uint64(16)) * np.uint64(self.n) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
+        bucket = segment_of(keys, self.n) - self.a
         at = np.flatnonzero(self.size[bucket] > 0)
         level = 0
         while len(at) and level < TOP:
@@ -322,16 +353,22 @@ def segment(keys: np.ndarray, level: np.ndarray, bits_per_entry: float) -> bytes
 
 
 def score_slice(
-    own: Tokens, counts: np.ndarray, n: int, v: int, names: np.ndarray, tokens: np.ndarray
+    own: Tokens, counts: np.ndarray, n: int, v: int, names: np.ndarray, tokens: list[np.ndarray]
 ) -> dict[str, np.ndarray]:
-    """Base and model score of each document of a slice, from the levels of its names and of the pairs at its tokens."""
+    """Base and model score of each document of a slice, from the levels of its names and of the n-grams at its tokens."""
     starts = own.cuts[:-1]
     prior = (counts + 1) / (n + v + 1)
-    history, pairs = count_of(names), count_of(tokens)
     before = np.zeros_like(own.ids)
     before[1:] = own.ids[:-1]
     before[starts] = 0
-    p = (pairs + MU * prior[own.ids]) / (np.maximum(history[before], pairs) + MU)
+    p, history = prior[own.ids], count_of(names)[before]
+    place = own.place()
+    for k, level in enumerate(tokens, 2):
+        grams = count_of(level)
+        longer = (grams + MU * p) / (np.maximum(history, grams) + MU)
+        # Behind the start of a text there are no longer n-grams.
+        p = np.where(place >= k - 2, longer, p)
+        history = np.concatenate(([0.0], grams[:-1]))[: len(grams)]
     total = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
     return {
         "n_tokens": own.sizes.astype(np.int64),
@@ -347,32 +384,35 @@ SCORED = (
 )
 
 
-def lm_scores(docs: DataFrame) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """One row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     rows = slices(docs)
-    size = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    n_words, n_grams = size // WORD_BUCKET + 1, size // GRAM_BUCKET + 1
-    counted = word_counts(rows, n_words)
-    sums = counted.agg(F.sum("tokens"), F.sum("distinct")).first()
-    n, v = sums[0] or 0, sums[1] or 0
-    held = gram_levels(rows, n_grams)
+    words = word_rows(rows)
+    known = store(words.groupBy("name").agg(F.sum("n").alias("c")), "word_counts")
+    sums = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    n, v = sums.n or 0, sums.v
+    # An n-gram has no more entries than it has occurrences, so this bounds the whole filter.
+    ranges = n * order * BITS_PER_ENTRY // 8 // pass_bytes + 1
+    segments = ranges * SEGMENTS
+    blocks = gram_blocks(rows, order, ranges)
+    found = gram_levels(blocks, filter_segments(blocks, segments), ranges, pass_bytes)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
+        word = pc.is_null(right.column("block"))
+        of_words, of_grams = right.filter(word), right.filter(pc.invert(word))
         for payload in left.column("payload").to_pylist():
             own = Tokens(payload)
             counts = np.zeros(len(own.names), np.int64)
-            order, cuts = word_buckets(own.codes, n_words)
-            grams = Grams(own, n_grams)
+            counts[of_words.column("a").to_numpy()] = of_words.column("b").to_numpy()
+            grams = Grams(own, order)
+            place = segment_of(grams.keys, segments)
             level = np.zeros(len(grams.keys), np.uint8)
-            for kind, bucket, block in zip(*(right.column(c).to_pylist() for c in ("kind", "bucket", "block"))):
-                if kind == WORDS:
-                    counts[order[cuts[bucket] : cuts[bucket + 1]]] = unpack_array(block, "i8")
-                else:
-                    level[grams.cuts[bucket] : grams.cuts[bucket + 1]] = unpack_array(block, "u1")
-            scored = score_slice(own, counts, n, v, level[grams.names], level[grams.tokens])
+            for a, b, block in zip(*(of_grams.column(c).to_pylist() for c in ("a", "b", "block"))):
+                begin, end = np.searchsorted(place, [a, b])
+                level[begin:end] = unpack_array(block, "u1")
+            scored = score_slice(own, counts, n, v, level[grams.names], [level[t] for t in grams.tokens])
             out.append(
                 pa.table(
                     {
@@ -388,9 +428,9 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             )
         return pa.concat_tables(out)
 
-    answers = counted.select("slice", F.lit(WORDS).alias("kind"), "bucket", "block").unionAll(
-        held.select("slice", F.lit(GRAMS).alias("kind"), "bucket", "block")
-    )
+    answers = words.join(known, "name").select("slice", F.col("at").alias("a"), F.col("c").alias("b"), F.lit(None).cast("binary").alias("block"))
+    for part in found:
+        answers = answers.unionAll(part)
     return (
         rows.select("slice", "payload")
         .groupBy("slice")

@@ -41,15 +41,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def store(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """Write ``df`` to the shared folder, in a folder for each value of the columns ``folders``, and read it back.
 
     This cuts the lineage: a lost executor takes nothing with it, and columns
     that depend on how rows were dealt (row numbers) stay what they are.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -179,23 +179,34 @@ def test_truncation_keeps_columns(spark):
     assert {r.doc_id: (r.text, r.fitting) for r in found} == {1: ("one two", "x"), 2: (None, "y")}
 
 
+def filtered(keys, counts, segments=3):
+    """What a filter of these counts answers for each of the keys."""
+    key, n = bloom_lm.summed(keys, counts)
+    key, level = key[n > 0], 1 + bloom_lm.levels(n[n > 0])
+    place = bloom_lm.segment_of(key, segments)
+    parts = {b: bloom_lm.segment(key[place == b], level[place == b], bloom_lm.BITS_PER_ENTRY) for b in range(segments)}
+    return bloom_lm.Filter(parts, segments).level(keys)
+
+
 def test_filter_is_never_too_low():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << bloom_lm.KEY_BITS, 4000, dtype=np.uint64))
     level = rng.integers(1, 12, len(keys))
     n = 3
-    bucket = ((keys >> np.uint64(16)) * np.uint64(n) >> np.uint64(bloom_lm.KEY_BITS - 16)).astype(int)
-    parts = {b: bloom_lm.segment(keys[bucket == b], level[bucket == b], 10) for b in range(n)}
+    place = bloom_lm.segment_of(keys, n)
+    assert (np.diff(place) >= 0).all() and set(place) == {0, 1, 2}
+    parts = {b: bloom_lm.segment(keys[place == b], level[place == b], 10) for b in range(n)}
     held = bloom_lm.Filter(parts, n)
     found = held.level(keys)
     assert (found >= level).all() and (found == level).mean() > 0.95
     others = rng.integers(0, 1 << bloom_lm.KEY_BITS, 20_000, dtype=np.uint64)
     assert (held.level(others) > 0).mean() < 0.03
+    # A part of the segments answers for its own keys as the whole does.
+    part = bloom_lm.Filter(parts, n, 1, 2)
+    assert (part.level(keys[place == 1]) == found[place == 1]).all()
 
 
 def test_filter_keeps_its_bits_at_every_size():
-    # What a segment answers does not hang on how many entries the whole filter has: no cap, no broadcast of all.
-    assert not hasattr(bloom_lm, "MAX_BITS") and not hasattr(bloom_lm, "build_filter")
     rng = np.random.default_rng(4)
     for n in (50, 5_000, 500_000):
         keys = np.unique(rng.integers(0, 1 << bloom_lm.KEY_BITS, 2 * n, dtype=np.uint64))
@@ -203,45 +214,45 @@ def test_filter_keeps_its_bits_at_every_size():
         counts = rng.integers(2, 40, len(keys))
         counts[: len(keys) // 2] = 0
         # Each key comes from two slices.
-        found = bloom_lm.filtered(np.concatenate((keys, keys)), np.concatenate((counts, 0 * counts)))
+        found = filtered(np.concatenate((keys, keys)), np.concatenate((counts, 0 * counts)))
         assert (found[: len(keys)] == found[len(keys) :]).all()
         found, never = found[: len(keys)], counts == 0
         assert (found[~never] >= bloom_lm.levels(counts[~never])).all()
         assert (found[never] > 0).mean() < (0.2 if n == 50 else 0.02) and found[never].max() < 6
 
 
+def test_passes_stay_within_their_bytes():
+    sizes = [3, 3, 3, 9, 0, 0, 12, 1]
+    assert bloom_lm.passes(sizes, 9) == [(0, 3), (3, 6), (6, 7), (7, 8)]
+    assert bloom_lm.passes(sizes, 1000) == [(0, 8)]
+    assert bloom_lm.passes([0], 9) == [(0, 1)]
+
+
 def test_once_seen_grams_are_held():
     keys = np.unique(np.random.default_rng(5).integers(0, 1 << bloom_lm.KEY_BITS, 3000, dtype=np.uint64))
     for count in (1, 2, 3):
-        found = bloom_lm.count_of(bloom_lm.filtered(keys, np.full(len(keys), count)))
+        found = bloom_lm.count_of(filtered(keys, np.full(len(keys), count)))
         assert (found >= count).all() and (found == count).mean() > 0.95
     counts = np.arange(1, 5000)
     stands = bloom_lm.count_of(1 + bloom_lm.levels(counts))
     assert (stands < counts * bloom_lm.BASE).all() and (stands > counts / bloom_lm.BASE).all()
 
 
-def test_scores_are_those_of_exact_counts():
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_are_those_of_exact_counts(order):
     texts = ["the cat sat on the mat", "a dog sat", "the cat", "", "the dog sat on a cat and the cat ran"]
     table = pa.table({"doc_id": pa.array([None] * len(texts), pa.int64()), "text": texts})
     own = bloom_lm.Tokens(pack(table))
-    grams = bloom_lm.Grams(own, 1)
-    level = bloom_lm.filtered(grams.keys, grams.counts)
-    single, pairs = Counter(), Counter()
-    for text in texts:
-        tokens = text.split() + [""]
-        single.update(tokens)
-        pairs.update(zip([""] + tokens, tokens))
-    n, v = sum(single.values()), len(single)
-    counts = np.array([single[name] for name in own.names.to_pylist()])
-    found = bloom_lm.score_slice(own, counts, n, v, level[grams.names], level[grams.tokens])["score"]
-    for text, score in zip(texts, found, strict=True):
-        tokens = text.split() + [""]
-        expected = 0.0
-        for h, w in zip([""] + tokens, tokens):
-            prior = (single[w] + 1) / (n + v + 1)
-            expected += np.log10((pairs[h, w] + bloom_lm.MU * prior) / (single[h] + bloom_lm.MU))
+    grams = bloom_lm.Grams(own, order)
+    level = filtered(grams.keys, grams.counts)
+    lines = [text.split() + [""] for text in texts]
+    seen = brute.exact_grams(lines, order)
+    n, v = sum(map(len, lines)), len({w for line in lines for w in line})
+    counts = np.array([seen[(name,)] for name in own.names.to_pylist()])
+    found = bloom_lm.score_slice(own, counts, n, v, level[grams.names], [level[t] for t in grams.tokens])["score"]
+    for line, score in zip(lines, found, strict=True):
         # Counts above 3 are quantised, and a few answers may be too high.
-        assert score == pytest.approx(expected, abs=0.02)
+        assert score == pytest.approx(brute.exact_score(line, seen, n, v, order), abs=0.02)
 
 
 def test_search_for_levels_ends_in_a_full_filter():

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import brute
 import corpus_pipeline
 from compare import connect, difference
-from regua.llm import byte_bpe
+from regua.llm import bloom_lm, byte_bpe
 from regua.llm.oracle import ORACLE
 from regua.llm.queries import QUERIES
 
@@ -68,6 +68,27 @@ def test_lm_scoring(spark, awkward):
     assert all(s <= 0 for *_, s in found)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm_scores_against_exact_counts(spark, awkward, order):
+    """Quantised counts and false answers move no document by more than 0.1 a token; passes change nothing."""
+    folder, docs, _ = awkward
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    whole = bloom_lm.lm_scores(table, order).collect()
+    key = lambda r: (repr(r[0]), r[1], round(r[2], 3))
+    ours = sorted(((r.doc_id, r.n_tokens, r.score) for r in whole), key=key)
+    theirs = sorted(brute.lm_scores(docs, order), key=key)
+    gaps = []
+    by_id = {}
+    for d, n, score in theirs:
+        by_id.setdefault((d, n), []).append(score)
+    for d, n, score in ours:
+        expected = min(by_id[d, n], key=lambda x: abs(x - score))
+        gaps.append(abs(score - expected) / n)
+    assert max(gaps) < 0.1 and sum(gaps) / len(gaps) < 0.02
+    parts = bloom_lm.lm_scores(table, order, 20_000).collect()
+    assert sorted(map(repr, parts)) == sorted(map(repr, whole))
+
+
 def test_decontamination(spark, awkward):
     folder, docs, items = awkward
     same(rows(spark, "op2_decontamination", folder), brute.contamination(docs, items))
