@@ -8,8 +8,8 @@ false hits.
 
 The filter holds the n-grams of the training documents alone and is cut into
 segments by key, each with ``BITS_PER_ENTRY`` bits for an entry, so it answers alike at every
-size of the corpus. Segments travel as plain rows (segment, key, count), summed over several
-slices before the shuffle. They are then broadcast in passes: a pass is a run of segments of at most
+size of the corpus. Tasks add up the n-grams of several slices and send one block of keys and
+counts to each segment, as many as Spark's own shuffle blocks. Segments are then broadcast in passes: a pass is a run of segments of at most
 ``pass_bytes``, measured before anything is gathered, and probes the keys of every slice that fall
 into it. The keys of a slice are stored once, by range of segments, so a pass reads no others. The levels of all
 passes come together again slice by slice. Scores do not hang on the number of passes.
@@ -19,8 +19,8 @@ p_k(w | h) = (count(h w) + MU * p_{k-1}) / (count(h) + MU) for the k - 1 tokens
 up to ``order`` (2; 3 and more are possible), with counts from the filter. A text starts behind an end token and
 ends with one; further back nothing stands, so its first tokens use the shorter n-grams alone.
 
-Word counts are exact: rows (word, slice, count) are summed by word and joined back, so
-no vocabulary has to fit into one place.
+Word counts are exact: counted by slice first, then by bucket of the hash of the word; each slice gets the
+counts of its own words back, so no vocabulary has to fit into one place.
 
 Defined results: a null or empty text is one end token; documents without an id
 are training documents; without training tokens every base probability is 1 and
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from regua.llm.common import ship, store
-from regua.llm.slices import open_slice, pack_array, slices, split_words, unpack_array
+from regua.llm.slices import open_slice, pack, pack_array, slices, split_words, unpack, unpack_array
 
 BASE, MU, ORDER = 1.5, 1000.0, 2
 BITS_PER_ENTRY, HASHES = 10, 5
@@ -49,13 +49,17 @@ TOP = 128
 #: Bytes of the filter that are broadcast at once.
 PASS_BYTES = 256 << 20
 #: Segments in each range of keys; a range has about as many bytes as a pass.
-SEGMENTS = 64
+SEGMENTS = 32
 #: Slices whose n-grams are added up before they are shuffled.
 MERGED = 8
 KEY_BITS = 56
+#: Bytes of text for each bucket of words.
+WORD_BUCKET = 64 << 20
 #: Stands for the end of a text; no word is empty.
 END = ""
 
+BLOCKS = "bucket long, slice long, block binary"
+
 
 def held_out_id(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
@@ -129,27 +133,74 @@ def count_of(level: np.ndarray) -> np.ndarray:
 # --- counting ---------------------------------------------------------------
 
 
-def word_rows(rows: DataFrame) -> DataFrame:
-    """Stored rows (slice, at, name, n): the names of each slice in its order, with training counts."""
-
+def _each_slice(rows: DataFrame, work, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = Tokens(payload.as_py())
-                size = len(own.names)
-                counts = np.bincount(own.ids[own.training()], minlength=size)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(size, number, np.int64)),
-                        pa.array(np.arange(size, dtype=np.int64)),
-                        own.names,
-                        pa.array(counts.astype(np.int64)),
-                    ],
-                    names=["slice", "at", "name", "n"],
-                )
+                yield work(number, payload.as_py())
+
+    return rows.select("slice", "payload").mapInArrow(run, schema)
 
-    found = rows.select("slice", "payload").mapInArrow(run, "slice long, at long, name string, n long")
-    return store(found, "words")
+
+def _block_rows(buckets: list[int], number: int, blocks: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(buckets, pa.int64()),
+            pa.array([number] * len(buckets), pa.int64()),
+            pa.array(blocks, pa.binary()),
+        ],
+        names=["bucket", "slice", "block"],
+    )
+
+
+def word_buckets(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that puts names by bucket, and where each bucket begins."""
+    bucket = (codes % np.uint64(n)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n + 1))
+
+
+def word_counts(rows: DataFrame, n: int) -> DataFrame:
+    """Stored blocks (bucket, slice, block, tokens, distinct): counts of the words a slice sent to a bucket, in its order."""
+
+    def send(number: int, payload: bytes) -> pa.RecordBatch:
+        own = Tokens(payload)
+        counts = np.bincount(own.ids[own.training()], minlength=len(own.names))
+        order, cuts = word_buckets(own.codes, n)
+        buckets, blocks = [], []
+        for bucket, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+            if b > a:
+                at = order[a:b]
+                block = pa.table({"name": own.names.take(pa.array(at)), "n": counts[at]})
+                buckets.append(bucket)
+                blocks.append(pack(block))
+        return _block_rows(buckets, number, blocks)
+
+    def total(group: pa.Table) -> pa.Table:
+        blocks = [unpack(b) for b in group.column("block").to_pylist()]
+        names = pa.chunked_array([c for t in blocks for c in t.column("name").chunks], pa.string())
+        coded = names.combine_chunks().dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        given = np.concatenate([t.column("n").to_numpy() for t in blocks])
+        counts = np.bincount(at, given, len(coded.dictionary)).astype(np.int64)
+        cuts = np.cumsum([0] + [t.num_rows for t in blocks]).tolist()
+        answers = [pack_array(counts[at[a:b]]) for a, b in zip(cuts, cuts[1:])]
+        # The sums of the bucket go with its first block.
+        first = [1] + [0] * (len(blocks) - 1)
+        return pa.table(
+            {
+                "bucket": group.column("bucket"),
+                "slice": group.column("slice"),
+                "block": pa.array(answers, pa.binary()),
+                "tokens": pa.array([int(counts.sum()) * f for f in first], pa.int64()),
+                "distinct": pa.array([int((counts > 0).sum()) * f for f in first], pa.int64()),
+            }
+        )
+
+    blocks = _each_slice(rows, send, BLOCKS)
+    return store(
+        blocks.groupBy("bucket").applyInArrow(total, BLOCKS + ", tokens long, distinct long"), "word_counts"
+    )
 
 
 def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
@@ -224,9 +275,17 @@ def filter_segments(blocks: DataFrame, segments: int) -> DataFrame:
 
     def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
         key, n = summed(np.concatenate(keys), np.concatenate(counts))
+        place = segment_of(key, segments)
+        begin = np.flatnonzero(np.diff(place, prepend=-1))
+        cuts = [*begin.tolist(), len(key)]
+        parts = list(zip(cuts, cuts[1:]))
         return pa.RecordBatch.from_arrays(
-            [pa.array(segment_of(key, segments)), pa.array(key.astype(np.int64)), pa.array(n)],
-            names=["segment", "key", "n"],
+            [
+                pa.array(place[begin], pa.int64()),
+                pa.array([pack_array(np.diff(key[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()),
+                pa.array([pack_array(n[a:b]) for a, b in parts], pa.binary()),
+            ],
+            names=["segment", "keys", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,11 +302,12 @@ def filter_segments(blocks: DataFrame, segments: int) -> DataFrame:
             yield merged(keys, counts)
 
     def build(group: pa.Table) -> pa.Table:
-        key, n = summed(group.column("key").to_numpy().astype(np.uint64), group.column("n").to_numpy())
+        keys = np.concatenate([_keys(k) for k in group.column("keys").to_pylist()])
+        key, n = summed(keys, np.concatenate([unpack_array(c, "i8") for c in group.column("counts").to_pylist()]))
         bits = segment(key, 1 + levels(n), BITS_PER_ENTRY)
         return pa.table({"segment": group.column("segment")[:1], "size": [len(bits)], "bits": pa.array([bits], pa.binary())})
 
-    sent = blocks.select("keys", "counts").mapInArrow(run, "segment long, key long, n long")
+    sent = blocks.select("keys", "counts").mapInArrow(run, "segment long, keys binary, counts binary")
     return store(sent.groupBy("segment").applyInArrow(build, "segment long, size long, bits binary"), "filter")
 
 
@@ -388,10 +448,11 @@ def lm_scores(docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES)
     """One row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     ship(docs.sparkSession)
     rows = slices(docs)
-    words = word_rows(rows)
-    known = store(words.groupBy("name").agg(F.sum("n").alias("c")), "word_counts")
-    sums = known.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    n, v = sums.n or 0, sums.v
+    size = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    n_words = size // WORD_BUCKET + 1
+    counted = word_counts(rows, n_words)
+    sums = counted.agg(F.sum("tokens"), F.sum("distinct")).first()
+    n, v = sums[0] or 0, sums[1] or 0
     # An n-gram has no more entries than it has occurrences, so this bounds the whole filter.
     ranges = n * order * BITS_PER_ENTRY // 8 // pass_bytes + 1
     segments = ranges * SEGMENTS
@@ -400,12 +461,14 @@ def lm_scores(docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        word = pc.is_null(right.column("block"))
+        word = pc.is_null(right.column("b"))
         of_words, of_grams = right.filter(word), right.filter(pc.invert(word))
         for payload in left.column("payload").to_pylist():
             own = Tokens(payload)
             counts = np.zeros(len(own.names), np.int64)
-            counts[of_words.column("a").to_numpy()] = of_words.column("b").to_numpy()
+            order_of, cuts = word_buckets(own.codes, n_words)
+            for bucket, block in zip(of_words.column("a").to_pylist(), of_words.column("block").to_pylist()):
+                counts[order_of[cuts[bucket] : cuts[bucket + 1]]] = unpack_array(block, "i8")
             grams = Grams(own, order)
             place = segment_of(grams.keys, segments)
             level = np.zeros(len(grams.keys), np.uint8)
@@ -428,7 +491,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES)
             )
         return pa.concat_tables(out)
 
-    answers = words.join(known, "name").select("slice", F.col("at").alias("a"), F.col("c").alias("b"), F.lit(None).cast("binary").alias("block"))
+    answers = counted.select("slice", F.col("bucket").alias("a"), F.lit(None).cast("long").alias("b"), "block")
     for part in found:
         answers = answers.unionAll(part)
     return (
