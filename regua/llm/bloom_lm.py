@@ -11,8 +11,8 @@ segments by key, each with ``BITS_PER_ENTRY`` bits for an entry, so it answers a
 size of the corpus. Tasks add up the n-grams of several slices and send one block of keys and
 counts to each segment, as many as Spark's own shuffle blocks. Segments are then broadcast in passes: a pass is a run of segments of at most
 ``pass_bytes``, measured before anything is gathered, and probes the keys of every slice that fall
-into it. The keys of a slice are stored once, by range of segments, so a pass reads no others. The levels of all
-passes come together again slice by slice. Scores do not hang on the number of passes.
+into it. The keys of a slice are stored once, in a folder for each range of segments, so a pass reads no others; files
+are as many as tasks times ranges, so a large cluster should take larger passes. The levels of all passes come together again slice by slice. Scores do not hang on the number of passes.
 
 The model: p_1(w) is the add-one unigram probability that also makes ``base_score``, and
 p_k(w | h) = (count(h w) + MU * p_{k-1}) / (count(h) + MU) for the k - 1 tokens h before w, at most 1,
@@ -50,9 +50,9 @@ TOP = 128
 PASS_BYTES = 256 << 20
 #: Segments in each range of keys; a range has about as many bytes as a pass.
 SEGMENTS = 32
-#: Slices whose n-grams are added up before they are shuffled.
-MERGED = 8
-KEY_BITS = 56
+#: Slices whose n-grams are added up before they are shuffled; bounds a worker's memory.
+MERGED = 3
+KEY_BITS = 48
 #: Bytes of text for each bucket of words.
 WORD_BUCKET = 64 << 20
 #: Stands for the end of a text; no word is empty.
@@ -205,7 +205,7 @@ def word_counts(rows: DataFrame, n: int) -> DataFrame:
 
 def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
     """Segment of each key; keys in order have segments in order."""
-    return ((keys >> np.uint64(24)) * np.uint64(segments) >> np.uint64(KEY_BITS - 24)).astype(np.int64)
+    return ((keys >> np.uint64(16)) * np.uint64(segments) >> np.uint64(KEY_BITS - 16)).astype(np.int64)
 
 
 class Grams:
@@ -252,9 +252,6 @@ def gram_blocks(rows: DataFrame, order: int, ranges: int) -> DataFrame:
                 )
 
     sent = rows.select("slice", "payload").mapInArrow(run, "slice long, keys binary, counts binary, range long")
-    if ranges > 1:
-        # A range then has a few files, however many slices there are.
-        sent = sent.repartition("range", F.pmod(F.xxhash64("slice"), F.lit(16)))
     return store(sent, "grams", "range")
 
 
