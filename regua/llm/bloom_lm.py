@@ -12,7 +12,8 @@ size of the corpus. Tasks add up the n-grams of several slices and send one bloc
 counts to each segment, as many as Spark's own shuffle blocks. Segments are then broadcast in passes: a pass is a run of segments of at most
 ``pass_bytes``, measured before anything is gathered, and probes the keys of every slice that fall
 into it. The keys of a slice are stored once, in a folder for each range of segments, so a pass reads no others; files
-are as many as tasks times ranges, so a large cluster should take larger passes. The levels of all passes come together again slice by slice. Scores do not hang on the number of passes.
+are as many as tasks times ranges, so a large cluster should take larger passes. The levels of all passes come
+together again slice by slice. Scores do not hang on the number of passes.
 
 The model: p_1(w) is the add-one unigram probability that also makes ``base_score``, and
 p_k(w | h) = (count(h w) + MU * p_{k-1}) / (count(h) + MU) for the k - 1 tokens h before w, at most 1,
@@ -43,13 +44,13 @@ from regua.llm.common import ship, store
 from regua.llm.slices import open_slice, pack, pack_array, slices, split_words, unpack, unpack_array
 
 BASE, MU, ORDER = 1.5, 1000.0, 2
-BITS_PER_ENTRY, HASHES = 10, 5
+BITS_PER_ENTRY, HASHES = 16, 8
 #: No count that fits into 64 bits has a higher level.
 TOP = 128
 #: Bytes of the filter that are broadcast at once.
 PASS_BYTES = 256 << 20
-#: Segments in each range of keys; a range has about as many bytes as a pass.
-SEGMENTS = 32
+#: Most bytes that a segment is expected to have. Where segments begin hangs on the corpus alone, not on the passes.
+SEGMENT_BYTES = 4 << 20
 #: Slices whose n-grams are added up before they are shuffled; bounds a worker's memory.
 MERGED = 3
 KEY_BITS = 48
@@ -229,15 +230,14 @@ class Grams:
         self.tokens = [place[b + at] for b, at in zip(begin[1:], places[1:])]
 
 
-def gram_blocks(rows: DataFrame, order: int, ranges: int) -> DataFrame:
+def gram_blocks(rows: DataFrame, order: int, segments: int, per_range: int) -> DataFrame:
     """Stored blocks (slice, keys, counts, range): the n-grams of a slice in each range of segments, in its order."""
-    segments = ranges * SEGMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = Grams(Tokens(payload.as_py()), order)
-                ranked = segment_of(own.keys, segments) // SEGMENTS
+                ranked = segment_of(own.keys, segments) // per_range
                 begin = np.flatnonzero(np.diff(ranked, prepend=-1))
                 cuts = [*begin.tolist(), len(ranked)]
                 parts = list(zip(cuts, cuts[1:]))
@@ -319,17 +319,16 @@ def passes(sizes: list[int], limit: int) -> list[tuple[int, int]]:
     return [*out, (begin, len(sizes))]
 
 
-def gram_levels(blocks: DataFrame, held: DataFrame, ranges: int, pass_bytes: int) -> list[DataFrame]:
+def gram_levels(blocks: DataFrame, held: DataFrame, segments: int, per_range: int, pass_bytes: int) -> list[DataFrame]:
     """Stored blocks (slice, a, b, block) of each pass: levels of the n-grams of a slice in segments a to b."""
     spark = blocks.sparkSession
-    segments = ranges * SEGMENTS
     out = []
-    for at in range(ranges):
-        base = at * SEGMENTS
-        # SEGMENTS rows of a range at most.
-        own = held.where(F.col("segment").between(base, base + SEGMENTS - 1))
-        known = {r.segment - base: r.size for r in own.select("segment", "size").collect()}
-        for a, b in passes([known.get(k, 0) for k in range(SEGMENTS)], pass_bytes):
+    for at in range(-(-segments // per_range)):
+        base, size = at * per_range, min(per_range, segments - at * per_range)
+        # A range has ``per_range`` rows at most.
+        own = held.where(F.col("segment").between(base, base + size - 1))
+        known = {r.segment - base: r["size"] for r in own.select("segment", "size").collect()}
+        for a, b in passes([known.get(k, 0) for k in range(size)], pass_bytes):
             chosen = own.where(F.col("segment").between(base + a, base + b - 1)).select("segment", "bits").collect()
             sent = spark.sparkContext.broadcast(Filter({r.segment: bytes(r.bits) for r in chosen}, segments, base + a, base + b))
             part = blocks.where(F.col("range") == at).select("slice", "keys")
@@ -441,7 +440,9 @@ SCORED = (
 )
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES, segment_bytes: int = SEGMENT_BYTES
+) -> DataFrame:
     """One row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     ship(docs.sparkSession)
     rows = slices(docs)
@@ -451,10 +452,10 @@ def lm_scores(docs: DataFrame, order: int = ORDER, pass_bytes: int = PASS_BYTES)
     sums = counted.agg(F.sum("tokens"), F.sum("distinct")).first()
     n, v = sums[0] or 0, sums[1] or 0
     # An n-gram has no more entries than it has occurrences, so this bounds the whole filter.
-    ranges = n * order * BITS_PER_ENTRY // 8 // pass_bytes + 1
-    segments = ranges * SEGMENTS
-    blocks = gram_blocks(rows, order, ranges)
-    found = gram_levels(blocks, filter_segments(blocks, segments), ranges, pass_bytes)
+    segments = n * order * BITS_PER_ENTRY // 8 // segment_bytes + 1
+    per_range = max(1, pass_bytes // segment_bytes)
+    blocks = gram_blocks(rows, order, segments, per_range)
+    found = gram_levels(blocks, filter_segments(blocks, segments), segments, per_range, pass_bytes)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
