@@ -49,17 +49,47 @@ def contamination(docs, items):
         own = normal_words(text)
         for i in range(max(1, len(own) - 9) if own else 0):
             windows[tuple(own[i : i + 10])].add(item)
-    sizes = {len(w) for w in windows}
     out = []
     for d, text in docs:
-        own, hit, found = normal_words(text), set(), set()
-        for n in sizes:
-            for i in range(len(own) - n + 1):
-                key = tuple(own[i : i + n])
-                if key in windows:
-                    hit.update(range(i, i + n))
-                    found |= {str(x) for x in windows[key] if x is not None}
-        out.append((d, len(own), len(hit), len(found), sha(",".join(sorted(found)).encode()), bool(hit)))
+        n, hit, found = _hits(text, windows)
+        out.append((d, n, len(hit), len(found), sha(",".join(sorted(found)).encode()), bool(hit)))
+    return out
+
+
+def _hits(text, windows):
+    own, hit, found = normal_words(text), set(), set()
+    for n in {len(w) for w in windows}:
+        for i in range(len(own) - n + 1):
+            key = tuple(own[i : i + n])
+            if key in windows:
+                hit.update(range(i, i + n))
+                found |= {str(x) for x in windows[key] if x is not None}
+    return len(own), hit, found
+
+
+def without_marked(docs, items):
+    """Texts, letter by letter: a marked word goes with the separators in front of it."""
+    windows = defaultdict(set)
+    for item, text in items:
+        own = normal_words(text)
+        for i in range(max(1, len(own) - 9) if own else 0):
+            windows[tuple(own[i : i + 10])].add(item)
+    out = []
+    for d, text in docs:
+        _, hit, _ = _hits(text, windows)
+        if not hit:
+            out.append((d, text))
+            continue
+        kept, held, word, at = "", "", "", 0
+        for c in [*text, None]:
+            if c is not None and (ord(c) > 127 or c.isalnum()):
+                word += c
+                continue
+            if word:
+                kept += "" if at in hit else held + word
+                held, word, at = "", "", at + 1
+            held += c or ""
+        out.append((d, kept + held))
     return out
 
 

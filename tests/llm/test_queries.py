@@ -8,12 +8,13 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
 import corpus_pipeline
 from compare import connect, difference
-from regua.llm import bloom_lm, byte_bpe
+from regua.llm import bloom_lm, byte_bpe, decontaminate
 from regua.llm.oracle import ORACLE
 from regua.llm.queries import QUERIES
 
@@ -94,6 +95,46 @@ def test_decontamination(spark, awkward):
     same(rows(spark, "op2_decontamination", folder), brute.contamination(docs, items))
 
 
+def test_marked_words_removed(spark, awkward):
+    folder, docs, items = awkward
+    table, tests = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "benchmark"))
+    left = decontaminate.remove_marked_words(table, tests)
+    assert left.columns == table.columns
+    same(sorted(map(tuple, left.select("doc_id", "text").collect()), key=repr), brute.without_marked(docs, items))
+
+
+def test_hash_sets_in_several_scans(spark, awkward):
+    """A benchmark dealt over many small sets marks the same words and items as one set does."""
+    folder, _, _ = awkward
+    table, tests = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "benchmark"))
+    windows = decontaminate.item_windows(tests, decontaminate.SIZE, "item_id", "text")
+    assert max(decontaminate.set_bits(c, 256)[1] for c in decontaminate.counted(windows).values()) > 1
+
+    def found(bits):
+        staged, hits = decontaminate.scanned(table, tests, "text", "no", "words", max_bits=bits)
+        got = staged.join(hits, "no").select("doc_id", "words", F.array_sort("marked").alias("marked"), "items")
+        return sorted(map(repr, got.collect()))
+
+    assert found(256) == found(decontaminate.MAX_BITS) != []
+
+
+def test_hash_set_follows_the_benchmark(spark):
+    """Under one in a hundred other windows passes, and no set is larger than its bound."""
+    for n in (0, 1, 10_000, 349_525, 349_526, 5_000_000, 100_000_000):
+        bits, sets = decontaminate.set_bits(n)
+        assert bits & (bits - 1) == 0 and bits <= decontaminate.MAX_BITS
+        assert bits * sets >= n * decontaminate.BITS_PER_WINDOW
+    for n in (10_000, 500_000):
+        bits, _ = decontaminate.set_bits(n)
+        codes = spark.range(n).select(F.xxhash64(F.col("id").cast("string")).alias("code"))
+        held = decontaminate.hash_set(codes, bits)
+        probe = decontaminate._probe(F.col("held"), F.xxhash64((F.col("id") + n).cast("string")), bits)
+        inside = decontaminate._probe(F.col("held"), F.xxhash64(F.col("id").cast("string")), bits)
+        ids = spark.range(2_000, numPartitions=1)
+        wrong, right = ids.join(F.broadcast(held)).agg(F.sum(probe.cast("int")), F.sum(inside.cast("int"))).first()
+        assert right == 2_000 and wrong < 20
+
+
 def test_byte_bpe(spark, awkward):
     folder, docs, _ = awkward
     with open(public_tokenizers.path(byte_bpe.RANKS), "rb") as file:
