@@ -328,6 +328,9 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
     "catalog_repair_partitions": f"""
 WITH {MICRO}, {GOLD_MICRO}
 SELECT ano, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_rows_before FROM gold_micro GROUP BY ano""",
+    "publish_versions": f"""
+WITH {MICRO}, {GOLD_MICRO}
+SELECT *, CAST(CASE WHEN ano >= {NEW_YEARS} THEN 2 ELSE 1 END AS INTEGER) AS versao FROM gold_micro""",
     "parquet_partitioned_write": f"""
 WITH {MICRO}, {results("id_municipio")} SELECT * FROM result""",
     "parquet_two_level_write": f"""
@@ -411,6 +414,16 @@ SELECT DISTINCT id_municipio FROM micro
 WHERE id_municipio NOT IN (SELECT id_municipio FROM supplier_city)""",
     "distinct_keys": f"WITH {MICRO} SELECT DISTINCT id_municipio FROM micro",
     "rate_rollup": f"WITH {MICRO} {rollup('ano, sigla_uf, id_municipio, rede')}",
+    "rollup_from_state": f"""
+WITH micro AS (
+  SELECT year(l_shipdate) AS ano, l_returnflag AS rede, l_linenumber AS serie, l_orderkey AS id_aluno,
+         CASE WHEN l_linenumber <> 7 THEN l_quantity END AS proficiencia_lp,
+         CASE WHEN l_returnflag <> 'A' THEN CAST(l_linestatus = 'F' AS INTEGER) END AS in_alfabetizado,
+         CAST(l_quantity >= 25 AS INTEGER) AS fl_alfabetizado_calculado
+  FROM lineitem)
+{rollup("CAST(ano AS VARCHAR) AS ano, rede, CAST(serie AS VARCHAR) AS serie")}
+UNION ALL
+{rollup("CAST(NULL AS VARCHAR) AS ano, rede, CAST(NULL AS VARCHAR) AS serie")}""",
     "agg_count_distinct": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, l_returnflag,
        COUNT(DISTINCT l_orderkey) AS qtd_pedidos, COUNT(*) AS n_rows

@@ -17,14 +17,14 @@ from regua.analogues import views, workspace
 from regua.analogues.views import CITY, CUT, LABELS, STATE, TARGET_YEARS
 from regua.functions.numeric import rate
 from regua.functions.ordering import ascending, descending
-from regua.operators import conform, quality, targets
+from regua.operators import conform, quality, rollup_state, targets
 from regua.operators.latest import keep_latest, keep_newest
 from regua.operators.ranking import top_k
 from regua.operators.rollup import rate_rollup
 from regua.plans import gold, incremental, reports
-from regua.schemas import ENTITIES, TARGET_PREFIX
+from regua.schemas import ENTITIES, LOAD_COLUMN, TARGET_PREFIX
 from regua.session import scratch_path
-from regua.sinks import catalog
+from regua.sinks import catalog, versions
 from regua.sinks.files import land_delimited, write_partitioned
 from regua.sinks.questions import register_questions
 from regua.sources.delimited import read_entity
@@ -176,6 +176,19 @@ def catalog_repair_partitions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def publish_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every year is published, then the new ones again as a second version; the table shows the last of each."""
+    df = workspace.gold_pupils(spark, sf).withColumn("versao", F.lit(1))
+    database = _fresh_name(spark, "regua_versions")
+    root = scratch_path(spark, database)
+    table = f"{database}.gold_aluno_municipio"
+    catalog.create_database(spark, database, root)
+    catalog.create_external_table(spark, table, _gold_columns(df), f"{root}/tabela")
+    versions.publish(df, table, f"{root}/tabela")
+    versions.publish(df.where(F.col("ano") >= NEW_YEARS).withColumn("versao", F.lit(2)), table, f"{root}/tabela")
+    return spark.table(table)
+
+
 def questions_in_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """Three of the SQL table functions, with arguments of their own."""
     database, _ = _gold_database(spark, sf)
@@ -424,6 +437,27 @@ def rollup(spark: SparkSession, sf: str) -> DataFrame:
     return rate_rollup(workspace.silver_micro(spark, sf), keys, cut=CUT)
 
 
+def rollup_from_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads, taken in one after another; orders ship in several of them. Two sets of keys from one state."""
+    year = F.year("l_shipdate")
+    lines = views.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("carga-"), year % 3).alias(LOAD_COLUMN),
+        year.alias("ano"),
+        F.col("l_returnflag").alias("rede"),
+        F.col("l_linenumber").alias("serie"),
+        F.col("l_orderkey").alias("id_aluno"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_quantity")).alias("proficiencia_lp"),
+        F.when(F.col("l_returnflag") != "A", (F.col("l_linestatus") == "F").cast("int")).alias("in_alfabetizado"),
+        (F.col("l_quantity") >= 25).cast("int").alias("fl_alfabetizado_calculado"),
+    )
+    path, keys = scratch_path(spark, "rollup"), ("ano", "rede", "serie")
+    for load in range(3):
+        rollup_state.add_loads(lines, path, [f"carga-{load}"], keys)
+    fine = rollup_state.rollup_of_state(spark, path, keys, cut=CUT)
+    coarse = rollup_state.rollup_of_state(spark, path, ("rede",), cut=CUT)
+    return _as_text(fine.unionByName(coarse, allowMissingColumns=True), "ano", "serie")
+
+
 def agg_count_distinct(spark: SparkSession, sf: str) -> DataFrame:
     lines = views.table(spark, sf, "lineitem").withColumn("ano", F.year("l_shipdate"))
     return lines.groupBy("ano", "l_returnflag").agg(
@@ -649,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "parquet_scan_pushed_filter": parquet_scan_pushed_filter,
     "catalog_table_scan": catalog_table_scan,
     "catalog_repair_partitions": catalog_repair_partitions,
+    "publish_versions": publish_versions,
     "questions_in_catalog": questions_in_catalog,
     "parquet_partitioned_write": parquet_partitioned_write,
     "parquet_two_level_write": parquet_two_level_write,
@@ -672,6 +707,7 @@ QUERIES: dict[str, Query] = {
     "join_anti_orphans": join_anti_orphans,
     "distinct_keys": distinct_keys,
     "rate_rollup": rollup,
+    "rollup_from_state": rollup_from_state,
     "agg_count_distinct": agg_count_distinct,
     "agg_flag_rate": agg_flag_rate,
     "sort_nulls_last": sort_nulls_last,

@@ -1,0 +1,102 @@
+"""State that grows load by load: the answer of a rollup over all unit records."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from regua.operators import rollup_state
+from regua.operators.rollup import rate_rollup
+from regua.operators.rollup_state import add_loads, rollup_of_state
+
+KEYS = ("ano", "sigla_uf", "id_municipio")
+SCHEMA = (
+    "dt_carga string, ano int, sigla_uf string, id_municipio int, id_aluno string, "
+    "proficiencia_lp double, in_alfabetizado int, fl_alfabetizado_calculado int"
+)
+
+
+def pupils(rng, load, n, hot=False):
+    """Pupils that return in other loads, years and places, with gaps; one place may hold most rows."""
+    out = []
+    for _ in range(n):
+        city = 7 if hot and rng.random() < 0.7 else rng.choice([1, 2, 3, 4, 5, None])
+        out.append((
+            load, rng.choice([2023, 2024]), rng.choice(["SP", "RJ", None]), city,
+            rng.choice([None, *map(str, range(1, 400))]), rng.choice([None, float(rng.randrange(400, 900))]),
+            rng.choice([None, 0, 1]), rng.choice([0, 1])))
+    return out
+
+
+def same(spark, path, rows, keys=KEYS):
+    found, wanted = rollup_of_state(spark, path, keys), rate_rollup(spark.createDataFrame(rows, SCHEMA), keys)
+    assert found.columns == wanted.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+
+
+@pytest.fixture()
+def path(tmp_path):
+    return str(tmp_path / "estado")
+
+
+def test_loads_add_up(spark, path):
+    rng, rows = random.Random(1), []
+    for load in ("2024-01", "2024-02", "2025/01 x"):
+        new = pupils(rng, load, 600, hot=load == "2024-02")
+        rows += new
+        add_loads(spark.createDataFrame(new, SCHEMA), path, [load], KEYS)
+        same(spark, path, rows)
+    for keys in ((), ("ano",), ("id_municipio", "sigla_uf")):
+        if keys:
+            same(spark, path, rows, keys)
+
+
+def test_several_loads_in_one_call_and_again(spark, path):
+    rng = random.Random(2)
+    rows = pupils(rng, "a", 300) + pupils(rng, "b", 300) + pupils(rng, "c", 50)
+    table = spark.createDataFrame(rows, SCHEMA)
+    add_loads(table, path, ["a", "b"], KEYS)
+    same(spark, path, [r for r in rows if r[0] != "c"])
+    add_loads(table, path, ["a", "b", "c"], KEYS)
+    same(spark, path, rows)
+    numbers = spark.read.parquet(f"{path}/{rollup_state.NUMBERS}")
+    assert numbers.count() == numbers.select("numero").distinct().count() == numbers.select("id_aluno").distinct().count()
+
+
+def test_a_load_that_changes_replaces_itself(spark, path):
+    rng = random.Random(3)
+    first, other = pupils(rng, "a", 200), pupils(rng, "b", 200)
+    add_loads(spark.createDataFrame(first + other, SCHEMA), path, ["a", "b"], KEYS)
+    changed = pupils(rng, "a", 90)
+    add_loads(spark.createDataFrame(changed, SCHEMA), path, ["a"], KEYS)
+    same(spark, path, changed + other)
+    add_loads(spark.createDataFrame([], SCHEMA), path, ["a"], KEYS)
+    same(spark, path, other)
+
+
+def test_interrupted_between_numbers_and_state(spark, path, monkeypatch):
+    rng = random.Random(4)
+    first, second = pupils(rng, "a", 200), pupils(rng, "b", 200)
+    add_loads(spark.createDataFrame(first, SCHEMA), path, ["a"], KEYS)
+    with monkeypatch.context() as m:
+        m.setattr(rollup_state, "write_partitioned", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            add_loads(spark.createDataFrame(second, SCHEMA), path, ["b"], KEYS)
+    same(spark, path, first)
+    add_loads(spark.createDataFrame(second, SCHEMA), path, ["b"], KEYS)
+    same(spark, path, first + second)
+
+
+def test_neighbours_share_bitmaps(spark, path):
+    """5,000 pupils of 10 places need few bitmaps, not one each."""
+    rows = [("a", 2024, "SP", i % 10, f"p{i * 7919 % 5000}", 700.0, 1, 1) for i in range(5_000)]
+    add_loads(spark.createDataFrame(rows, SCHEMA), path, ["a"], KEYS)
+    state = spark.read.parquet(f"{path}/{rollup_state.STATE}")
+    assert state.where(F.col("mapa").isNotNull()).count() <= 10 + 2 * 8
+    same(spark, path, rows)
+
+
+def test_reading_the_state_meets_no_unit_record(spark, path):
+    add_loads(spark.createDataFrame(pupils(random.Random(5), "a", 100), SCHEMA), path, ["a"], KEYS)
+    files = rollup_of_state(spark, path, KEYS).inputFiles()
+    assert files and all(f"/{rollup_state.STATE}/" in f for f in files)
