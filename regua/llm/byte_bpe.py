@@ -9,6 +9,12 @@ contracted in one step where this cannot change the outcome, namely where the
 new token makes no pair of a lower rank with its neighbours; else only the
 leftmost is.
 
+A word of more than LONG bytes is contracted in windows that overlap, so that time
+follows its length. A sequence of tokens is the encoding of its bytes exactly if each
+pair of neighbours is the encoding of theirs. So two windows that share a token where
+they overlap may be joined at it: all pairs come from one window or the other. Windows
+that share none are contracted anew as one.
+
 Decoding: token rows join the vocabulary, and an ordered aggregation puts the
 pieces of each text together.
 
@@ -41,6 +47,12 @@ WORD_BYTES, STEPS, DECODED = 400_000, 64, 400_000
 #: Words whose ids a worker remembers (about 200 bytes each), parts of texts beside them.
 REMEMBERED, PARTS = 1_500_000, 800_000
 
+#: Words of more than LONG bytes are cut into windows, of which neighbours share OVERLAP bytes (half a window at most).
+LONG, WINDOW, OVERLAP = 512, 80, 32
+
+#: Stands for an id that is no token's.
+NO_TOKEN = (1 << 32) - 1
+
 #: For words of up to SHORT bytes: one pair of a word in a step, the leftmost of the lowest rank.
 #: Rows carry the token behind them along, so that one sorted window serves a step.
 SHORT = 64
@@ -95,8 +107,8 @@ SELECT word, pos, tok, done FROM r WHERE done OR step = {STEPS} ORDER BY word, p
 """
 
 JOINED = """
-SELECT doc, string_agg(piece, '' ORDER BY pos) AS body
-FROM tokens JOIN vocabulary USING (id) GROUP BY doc
+SELECT doc, string_agg(coalesce(piece, chr(239) || chr(191) || chr(189)), '' ORDER BY pos) AS body
+FROM tokens LEFT JOIN vocabulary USING (id) GROUP BY doc
 """
 
 
@@ -144,6 +156,8 @@ class Codec:
         self.sql = duckdb.connect(
             config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""}
         )
+        self.size_of = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        self.size_of[list(self.ranks.values())] = [len(t) for t in self.ranks]
         merges = merge_table(self.ranks)  # noqa: F841, read by name
         self.sql.execute("CREATE TABLE merges AS SELECT * FROM merges")
         # Bytes as characters U+0000 to U+00FF, since pieces alone may not be valid UTF-8.
@@ -189,29 +203,75 @@ class Codec:
             rows = found.filter(pa.array(~done)).select(["word", "pos", "tok"])
         return out
 
+    def _made(self, words: list[bytes], query: str) -> list[bytes]:
+        """Ids of any number of words, a bounded number of bytes in each query."""
+        made: list[bytes] = []
+        start = held = 0
+        for at in range(len(words) + 1):
+            if at == len(words) or held > WORD_BYTES:
+                if start < at:
+                    made += self._contract(words[start:at], query)
+                start, held = at, 0
+            if at < len(words):
+                held += len(words[at])
+        return made
+
+    def _tokens_at(self, ids: np.ndarray, start: int, low: int, high: int) -> dict[tuple[int, int], int]:
+        """Tokens that lie between two places of a word, by place and id, with their number."""
+        ends = start + np.cumsum(self.size_of[ids])
+        starts = ends - self.size_of[ids]
+        inside = np.flatnonzero((starts >= low) & (ends <= high))
+        return {(p, t): k for k, p, t in zip(inside.tolist(), starts[inside].tolist(), ids[inside].tolist())}
+
+    def _of_windows(self, word: bytes) -> bytes:
+        """Ids of a long word, joined from those of its windows."""
+        stride = WINDOW - OVERLAP
+        places = [(a, min(a + WINDOW, len(word))) for a in range(0, max(1, len(word) - OVERLAP), stride)]
+        distinct = list({word[a:b]: None for a, b in places})
+        made = dict(zip(distinct, self._made(distinct, LEFTMOST)))
+        parts = [np.frombuffer(made[word[a:b]], "<u4") for a, b in places]
+        while True:
+            # For each pair of neighbours a token that both have, as its numbers in either, or None.
+            joints = []
+            for at in range(len(parts) - 1):
+                low, high = places[at + 1][0], places[at][1]
+                left, right = (self._tokens_at(parts[i], places[i][0], low, high) for i in (at, at + 1))
+                shared = next((key for key in left if key in right), None)
+                joints.append(None if shared is None else (left[shared], right[shared]))
+            if None not in joints:
+                break
+            whole, kept, at = [], [], 0
+            while at < len(parts):
+                apart = at < len(joints) and joints[at] is None
+                whole.append((places[at][0], places[at + 1 if apart else at][1]))
+                kept.append(None if apart else parts[at])
+                at += 2 if apart else 1
+            distinct = list({word[a:b]: None for (a, b), part in zip(whole, kept) if part is None})
+            made = dict(zip(distinct, self._made(distinct, CONTRACT)))
+            parts = [np.frombuffer(made[word[a:b]], "<u4") if p is None else p for (a, b), p in zip(whole, kept)]
+            places = whole
+        # A part gives its tokens from behind the one it shares with the part before to the one shared with the next.
+        first = [0, *(right + 1 for _, right in joints)]
+        behind = [*(left + 1 for left, _ in joints), None]
+        return b"".join(part[a:b].tobytes() for part, a, b in zip(parts, first, behind))
+
     def _learn(self, words: list[str]) -> None:
         """Make the ids of words that are not known yet."""
         if len(self.packed) > REMEMBERED:
             self.packed.clear()
-        short, long = [], []
+        short, middle = [], []
         for word in words:
             data = word.encode()
             whole = self.ranks.get(data)
             if whole is not None:
                 self.packed[word] = whole.to_bytes(4, "little")
+            elif len(data) > LONG:
+                self.packed[word] = self._of_windows(data)
             else:
-                (short if len(data) <= SHORT else long).append((word, data))
-        for group, query in ((short, LEFTMOST), (long, CONTRACT)):
-            start = held = 0
-            for at in range(len(group) + 1):
-                if at == len(group) or held > WORD_BYTES:
-                    batch = group[start:at]
-                    if batch:
-                        made = self._contract([data for _, data in batch], query)
-                        self.packed.update(zip((word for word, _ in batch), made))
-                    start, held = at, 0
-                if at < len(group):
-                    held += len(group[at][1])
+                (short if len(data) <= SHORT else middle).append((word, data))
+        for group, query in ((short, LEFTMOST), (middle, CONTRACT)):
+            made = self._made([data for _, data in group], query)
+            self.packed.update(zip((word for word, _ in group), made))
 
     def _stretches(self, stretches: list[str]) -> list[bytes]:
         split = [self.pattern.findall(s) for s in stretches]
@@ -314,17 +374,24 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     return _columns(docs.select("doc_id", "text"), "text", path, fields).drop("text")
 
 
+def _packed(ids: list[int | None]) -> bytes:
+    """Ids as they are packed by the encoder; what no token can have becomes the largest number."""
+    return np.array([i if i is not None and 0 <= i < 1 << 31 else NO_TOKEN for i in ids], "<u4").tobytes()
+
+
 def decoded(tokens: DataFrame, ids: str = "ids", name: str = "text", path: str | None = None) -> DataFrame:
     """``tokens`` with the text of its ids; bytes that are not UTF-8 become replacement characters, null ids null."""
     ship(tokens.sparkSession)
     data = _shared_ranks(tokens, path)
+    if name.lower() in {c.lower() for c in tokens.columns}:
+        raise ValueError(f"column exists already: {name}")
     at, names = tokens.columns.index(ids), [*tokens.columns, name]
 
     def run(batches):
         own = codec(data.value)
         for batch in batches:
             lists = batch.column(at).to_pylist()
-            bodies = own.decode([np.array(x or [], "<u4").tobytes() for x in lists])
+            bodies = own.decode([_packed(x or []) for x in lists])
             texts = [None if x is None else b.decode("utf-8", "replace") for x, b in zip(lists, bodies)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 

@@ -28,6 +28,9 @@ from regua.llm.slices import pack
 ALPHABET = ["a", "b", "the", " ", "  ", "\n", "\t", "'s", "'", "re", "é", "1", "23", "!", "...", "\xa0", "　", "\x1c", "\x85", "日本", " a", "<|endoftext|>", "<|end"]
 
 
+LETTERS = ["ab", "abc", "etaoin", "=-", "aà", "0123", "\n ", "日本語テスト", "abcdefghijklmnopqrstuvwxyz"]
+
+
 def scraps(n, size=30, seed=2):
     rng = random.Random(seed)
     return ["".join(rng.choice(ALPHABET) for _ in range(rng.randrange(size))) for _ in range(n)]
@@ -154,6 +157,44 @@ def test_encoding_round_trip(codec):
     assert codec.decode(packed) == [t.encode() for t in texts]
 
 
+def test_long_words_in_windows(codec):
+    """Windows that meet nowhere, runs, few letters, many bytes a letter: always the ids of the library."""
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    rng = random.Random(8)
+    words = ["".join(rng.choices(letters, k=rng.randrange(81, 700))) for letters in LETTERS for _ in range(8)]
+    words += ["a" * 20_003, "the" * 5_001, "".join(rng.choice("ab") * rng.randrange(1, 300) for _ in range(40))]
+    words += ["x" * n for n in (byte_bpe.WINDOW - 1, byte_bpe.WINDOW, byte_bpe.WINDOW + 1, byte_bpe.OVERLAP)]
+    for word in words:
+        ids = np.frombuffer(codec._of_windows(word.encode()), "<u4").tolist()
+        assert ids == known._core_bpe.encode_single_piece(word.encode()), word[:80]
+
+
+def test_time_follows_the_length_of_a_word(codec):
+    rng, work = random.Random(9), []
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    for size in (50_000, 200_000):
+        word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+        sent, real = [], codec._contract
+        codec._contract = lambda words, query: sent.append(sum(map(len, words))) or real(words, query)  # noqa: B023
+        try:
+            (found,) = codec.encode([word])
+        finally:
+            del codec._contract
+        assert np.frombuffer(found, "<u4").tolist() == known.encode_ordinary(word)
+        assert max(sent) <= byte_bpe.WORD_BYTES + byte_bpe.WINDOW
+        work.append(sum(sent) / size)
+    # Bytes contracted for each byte of the word.
+    assert max(work) < 2 and work[1] < 1.1 * work[0]
+
+
+def test_ids_of_nothing_and_taken_names(spark):
+    tokens = spark.createDataFrame([(1, [None, 10_000_000, -4]), (2, []), (3, None)], "doc_id long, ids array<int>")
+    back = {r.doc_id: r.text for r in byte_bpe.decoded(tokens).collect()}
+    assert back == {1: "\ufffd" * 3, 2: "", 3: None}
+    with pytest.raises(ValueError):
+        byte_bpe.decoded(tokens, name="DOC_ID")
+
+
 def test_ids_decode_to_text(spark):
     docs = spark.createDataFrame([(1, "naïve  text\n"), (2, None), (3, "🙂")], "doc_id long, text string")
     back = byte_bpe.decoded(byte_bpe.encoded(docs)).collect()
