@@ -48,7 +48,7 @@ BITS_PER_ENTRY, HASHES = 16, 8
 #: No count that fits into 64 bits has a higher level.
 TOP = 128
 #: Bytes of the filter that are broadcast at once.
-PASS_BYTES = 256 << 20
+PASS_BYTES = 64 << 20
 #: Most bytes that a segment is expected to have. Where segments begin hangs on the corpus alone, not on the passes.
 SEGMENT_BYTES = 4 << 20
 #: Slices whose n-grams are added up before they are shuffled; bounds a worker's memory.
@@ -329,14 +329,20 @@ def gram_levels(blocks: DataFrame, held: DataFrame, segments: int, per_range: in
         own = held.where(F.col("segment").between(base, base + size - 1))
         known = {r.segment - base: r["size"] for r in own.select("segment", "size").collect()}
         for a, b in passes([known.get(k, 0) for k in range(size)], pass_bytes):
-            chosen = own.where(F.col("segment").between(base + a, base + b - 1)).select("segment", "bits").collect()
-            sent = spark.sparkContext.broadcast(Filter({r.segment: bytes(r.bits) for r in chosen}, segments, base + a, base + b))
+            sent = spark.sparkContext.broadcast(_gathered(own, segments, base + a, base + b))
             part = blocks.where(F.col("range") == at).select("slice", "keys")
             out.append(store(part.mapInArrow(_prober(sent, base + a, base + b, segments), "slice long, a long, b long, block binary"), "levels"))
-            sent.unpersist()
+            # The answers are stored, so nothing can ask for this pass again; the driver lets go of it too.
+            sent.destroy(blocking=True)
     return out
 
 
+def _gathered(held: DataFrame, segments: int, a: int, b: int) -> Filter:
+    """Segments ``a`` to ``b`` as they are broadcast; no other copy outlives the call."""
+    chosen = held.where(F.col("segment").between(a, b - 1)).select("segment", "bits").collect()
+    return Filter({r.segment: r.bits for r in chosen}, segments, a, b)
+
+
 def _prober(sent, a: int, b: int, segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
