@@ -4,8 +4,8 @@ Windows of ``WORDS`` words are compared. Consecutive windows that share a
 minimiser (the smallest hash of their ``GRAM``-word grams) travel as one packed
 string to the bucket of the minimiser, where the windows of all strings are
 sorted and equal ones met exactly (:mod:`regua.llm.repeats`). Not so for a minimiser
-with more than ``SPLIT_BYTES`` of runs: each of its windows travels as a 128-bit
-digest, and windows are equal when their digests are, so two different ones would be
+with more than ``SPLIT_BYTES`` of distinct runs (or ``COPIES`` times that, with equal
+ones of several slices): each of its windows travels as a 128-bit digest, and windows are equal when their digests are, so two different ones would be
 taken as equal if xxh3 gave both the same digest. A word goes if a window that covers
 it also begins in a document with a smaller id.
 

@@ -1,5 +1,6 @@
 """Parts of the operators by themselves."""
 
+import functools
 import random
 from collections import Counter
 
@@ -23,7 +24,7 @@ from regua.llm import (
     token_dp,
 )
 from regua.llm.components import connected_components
-from regua.llm.slices import pack
+from regua.llm.slices import pack, slices
 
 ALPHABET = ["a", "b", "the", " ", "  ", "\n", "\t", "'s", "'", "re", "é", "1", "23", "!", "...", "\xa0", "　", "\x1c", "\x85", "日本", " a", "<|endoftext|>", "<|end"]
 
@@ -127,6 +128,44 @@ def test_minimisers_that_are_split(spark, awkward, split):
     assert sorted(map(key, found)) == sorted(map(repr, brute.repeated_bytes(docs)))
 
 
+@pytest.mark.parametrize("module, run", [(suffix_dedup, "remove_repeats"), (superkmer_dedup, "remove_passages")])
+def test_moved_rows_follow_the_input(spark, monkeypatch, module, run):
+    # Slices and buckets of few bytes, so that both are many.
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 1 << 14)
+    monkeypatch.setattr(repeats, "CODE_BUCKET", 1 << 16)
+    monkeypatch.setattr(module, "slices", functools.partial(slices, limit=1 << 16))
+    moved, store = {}, repeats.store
+
+    def counted(df, name):
+        out = store(df, name)
+        moved.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "store", counted)
+    rng = random.Random(8)
+    for n in (64, 256):
+        texts = [" ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(1600)) for _ in range(n)]
+        # Half of each odd document stands in the one before it.
+        docs = [(i, texts[i - i % 2][:4000] + texts[i][4000:]) for i in range(n)]
+        table = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+        assert getattr(module, run)(table).where("n_removed > 0").count() >= n // 2
+    assert set(moved) == {"minimisers", "runs", "replies"}
+    for name, (few, many) in moved.items():
+        assert many <= 5 * few, (name, few, many)
+
+
+def test_equal_runs_split_no_minimiser():
+    def verdicts(prints):
+        rows = {"slice": list(range(len(prints))), "key": [7 << repeats.PRINT_BITS | p for p in prints]}
+        rows |= {"often": pa.array([1] * len(prints), pa.int32()), "size": [600] * len(prints)}
+        return set(repeats._repeated(pa.table(rows), False, 1000).column("verdict").to_pylist())
+
+    assert verdicts([5]) == set()
+    assert verdicts([5] * 10) == {1}
+    assert verdicts([5, 5, 6]) == {2}
+    assert verdicts([5] * 1 + [5] * (repeats.COPIES * 1000 // 600)) == {2}
+
+
 def test_first_copies_can_stay(spark):
     rng = random.Random(6)
     passage = "".join(rng.choice("abcdef ") for _ in range(500))
